@@ -1,0 +1 @@
+"""Every source of the retail jobs is a whole file, so there is no streaming operator to offer."""
