@@ -7,12 +7,13 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tillcube.functions.filters import with_known
 from tillcube.functions.measures import ratio
 
 
 def mean_by(df: DataFrame, keys: Sequence[str], value: str, name: str) -> DataFrame:
     mean = F.sum(value).cast("double") / F.count(value)
-    return df.dropna(subset=list(keys)).groupBy(*keys).agg(mean.alias(name))
+    return with_known(df, keys).groupBy(*keys).agg(mean.alias(name))
 
 
 def before_after(before: DataFrame, after: DataFrame, on: str, value: str) -> DataFrame:

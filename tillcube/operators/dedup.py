@@ -7,6 +7,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tillcube.functions.filters import with_known
+
 # Lines that agree on these columns should agree on the price.
 PRICE_KEY = ("invoice_no", "stock_code", "customer_id", "invoice_date")
 
@@ -73,7 +75,7 @@ def duplicate_key_text(keys: Sequence[str]) -> Column:
 def price_conflicts(lines: DataFrame) -> DataFrame:
     """Keys whose lines carry more than one price, with the range of prices."""
     return (
-        lines.dropna(subset=list(PRICE_KEY))
+        with_known(lines, PRICE_KEY)
         .groupBy(*PRICE_KEY)
         .agg(
             F.min("unit_price").alias("min_unit_price"),

@@ -12,6 +12,8 @@ from collections.abc import Callable, Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from tillcube.functions.filters import with_known
+
 Bucket = Callable[[Column], Column]
 
 
@@ -20,43 +22,18 @@ def month_bucket(at: Column) -> Column:
     return F.trunc(at, "month")
 
 
-def nearest(
-    df: DataFrame,
-    key: Sequence[str],
-    at: str,
-    value: str,
-    name: str,
-    bucket: Bucket = month_bucket,
-    later: bool = False,
-    inclusive: bool = False,
-) -> DataFrame:
-    """Add ``name``: the nearest non-null ``value`` of the key before (or, ``later``, after) a row.
+def on_time_line(df: DataFrame, key: Sequence[str], at: str, bucket: Bucket) -> DataFrame:
+    """Rows that have a key, a moment and a bucket.
 
-    ``inclusive`` lets the row's own value and those at the same moment count. Rows must be unique
-    per key and moment among those that have a value.
+    Joins on these columns would ask for that anyway, but on one side only; asked here, both sides
+    of a self join start from the same rows and share their shuffle.
     """
-    group = [*key, "_bucket"]
-    df = df.withColumn("_bucket", bucket(F.col(at)))
-    order = F.col(at).desc() if later else F.col(at).asc()
-    span = Window.partitionBy(*group).orderBy(order)
-    if inclusive:
-        span = span.rangeBetween(Window.unboundedPreceding, Window.currentRow)
-    else:
-        span = span.rowsBetween(Window.unboundedPreceding, -1)
-    known_at = F.when(F.col(value).isNotNull(), F.col(at))
-    end = F.min_by(value, known_at) if later else F.max_by(value, known_at)
-    ends = df.groupBy(*group).agg(end.alias("_end"))
-    bucket_order = F.col("_bucket").desc() if later else F.col("_bucket").asc()
-    across = Window.partitionBy(*key).orderBy(bucket_order).rowsBetween(Window.unboundedPreceding, -1)
-    carried = ends.select(*group, F.last("_end", ignorenulls=True).over(across).alias("_carried"))
-    inside = df.withColumn("_inside", F.last(value, ignorenulls=True).over(span))
-    found = inside.join(carried, group, "left").withColumn(name, F.coalesce("_inside", "_carried"))
-    return found.drop("_bucket", "_inside", "_carried")
-
-
-def one_value_per_moment(df: DataFrame, key: Sequence[str], tracked: str, at: str) -> DataFrame:
+    return with_known(df, [*key, at]).where(bucket(F.col(at)).isNotNull())
+
+
+def one_value_per_moment(df: DataFrame, key: Sequence[str], tracked: str, at: str, bucket: Bucket) -> DataFrame:
     """The tracked value per key and moment; of several at one moment the lowest stands."""
-    known = df.select(*key, at, tracked).dropna(subset=[*key, at])
+    known = on_time_line(df, key, at, bucket)
     return known.groupBy(*key, at).agg(F.min(tracked).alias(tracked))
 
 
@@ -68,16 +45,59 @@ def version_history(
     Columns: key, tracked, valid_from, valid_to (null while current), current_flag. Intervals of a
     key touch without gaps or overlaps, and none is empty.
     """
-    moments = one_value_per_moment(df, key, tracked, at)
-    # A struct is never null, so the nearest one is the previous row even if its value is null.
-    moments = moments.withColumn("_value", F.struct(tracked))
-    moments = nearest(moments, key, at, "_value", "_previous", bucket)
-    changed = F.col("_previous").isNull() | ~F.col("_previous").eqNullSafe(F.col("_value"))
-    starts = moments.where(changed).select(*key, tracked, F.col(at).alias("valid_from"))
-    starts = starts.withColumn("_start", F.col("valid_from"))
-    versions = nearest(starts, key, "valid_from", "_start", "valid_to", bucket, later=True)
+    group = [*key, "_bucket"]
+    moments = one_value_per_moment(df, key, tracked, at, bucket).withColumn("_bucket", bucket(F.col(at)))
+
+    # Runs inside each bucket; the first one may continue the last run of the bucket before.
+    line = Window.partitionBy(*group).orderBy(at)
+    runs = moments.withColumns({"_place": F.row_number().over(line), "_previous": F.lag(tracked).over(line)})
+    first = F.col("_place") == 1
+    runs = runs.where(first | ~F.col("_previous").eqNullSafe(F.col(tracked)))
+    runs = runs.withColumn("_next", F.lead(at).over(line))
+
+    buckets = runs.groupBy(*group).agg(
+        F.min_by(F.struct(F.col(tracked).alias("value")), at).alias("_first"),
+        F.max_by(F.struct(F.col(tracked).alias("value")), at).alias("_last"),
+        F.min(at).alias("_first_at"),
+        F.min(F.when(~first, F.col(at))).alias("_second_at"),
+    )
+    backwards = Window.partitionBy(*key).orderBy(F.col("_bucket").desc())
+    continues = F.lead("_last").over(backwards).eqNullSafe(F.col("_first"))
+    buckets = buckets.withColumn("_continues", continues)
+    opened = F.when(F.col("_continues"), F.col("_second_at")).otherwise(F.col("_first_at"))
+    later = backwards.rowsBetween(Window.unboundedPreceding, -1)
+    borders = buckets.withColumn("_opened", opened).select(
+        *group, "_continues", F.last("_opened", ignorenulls=True).over(later).alias("_next_opened")
+    )
+
+    versions = runs.join(borders, group).where(~(first & F.col("_continues")))
+    valid_to = F.coalesce("_next", "_next_opened")
     return versions.select(
-        *key, tracked, "valid_from", "valid_to", F.col("valid_to").isNull().alias("current_flag")
+        *key,
+        tracked,
+        F.col(at).alias("valid_from"),
+        valid_to.alias("valid_to"),
+        valid_to.isNull().alias("current_flag"),
+    )
+
+
+def latest_known(df: DataFrame, key: Sequence[str], at: str, value: str, bucket: Bucket) -> DataFrame:
+    """Replace ``value`` by the key's latest non-null one at or before each row's moment.
+
+    A key has at most one non-null value per moment.
+    """
+    group = [*key, "_bucket"]
+    df = df.withColumn("_bucket", bucket(F.col(at)))
+    last = F.max_by(value, F.when(F.col(value).isNotNull(), F.col(at)))
+    buckets = df.groupBy(*group).agg(last.alias("_last"))
+    earlier = Window.partitionBy(*key).orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1)
+    carried = buckets.select(*group, F.last("_last", ignorenulls=True).over(earlier).alias("_carried"))
+    line = Window.partitionBy(*group).orderBy(at).rangeBetween(Window.unboundedPreceding, Window.currentRow)
+    inside = df.withColumn("_inside", F.last(value, ignorenulls=True).over(line))
+    return (
+        inside.join(carried, group)
+        .withColumn(value, F.coalesce("_inside", "_carried"))
+        .drop("_bucket", "_inside", "_carried")
     )
 
 
@@ -96,19 +116,18 @@ def attach_version(
     sweeping both along the time line, so facts and versions of a key are never paired with each
     other, and the facts join on key and moment, which spreads a hot key over its moments.
     """
-    moments = facts.select(*key, F.col(at).alias("_moment")).dropna().distinct()
-    starts = versions.select(
+    moments = on_time_line(facts, key, at, bucket).select(*key, F.col(at).alias("_moment")).distinct()
+    starts = on_time_line(versions, key, "valid_from", bucket).select(
         *key,
         F.col("valid_from").alias("_moment"),
-        F.struct("valid_to", *columns).alias("_version"),
+        F.struct(F.col("valid_to").alias("_until"), *columns).alias("_version"),
     )
-    line = moments.unionByName(starts, allowMissingColumns=True)
-    line = nearest(line, key, "_moment", "_version", "_found", bucket, inclusive=True)
-    open_ended = F.col("_found.valid_to").isNull()
-    valid = open_ended | (F.col("_moment") < F.col("_found.valid_to"))
-    found = (
-        line.where(F.col("_version").isNull() & F.col("_found").isNotNull() & valid)
-        .select(*[F.col(name).alias(f"_{name}") for name in key], "_moment", *[f"_found.{c}" for c in columns])
+    line = moments.withColumn("_fact", F.lit(True)).unionByName(starts, allowMissingColumns=True)
+    line = latest_known(line, key, "_moment", "_version", bucket)
+    ends = F.col("_version._until")
+    valid = F.col("_fact") & F.col("_version").isNotNull() & (ends.isNull() | (F.col("_moment") < ends))
+    found = line.where(valid).select(
+        *[F.col(name).alias(f"_{name}") for name in key], "_moment", *[f"_version.{name}" for name in columns]
     )
     same = [F.col(name) == F.col(f"_{name}") for name in key]
     joined = facts.join(found, [*same, F.col(at) == F.col("_moment")], "left")

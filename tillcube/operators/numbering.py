@@ -13,27 +13,35 @@ from tillcube.sources.shared import materialize
 POSITION_BITS = 33
 
 
-def number_rows(df: DataFrame, name: str, order_by: Sequence[str] | None = None) -> DataFrame:
+def number_rows(
+    df: DataFrame, name: str, order_by: Sequence[str] | None = None, repeated: bool = False
+) -> DataFrame:
     """Put a column ``name`` with 1..n in front.
 
-    With ``order_by`` the numbers follow that order, as a row number over the whole table would;
-    the columns should tell all rows apart. Spark's range partitioning does the sort. Without it
-    they follow the partitions as they are read and nothing is shuffled, which is what a fact table
-    needs: its row id has to be dense and unique, nothing more.
+    With ``order_by`` the numbers follow that order, as a row number over the whole table would.
+    Spark's range partitioning does the sort. Rows may tie if ``repeated`` says so: they are then
+    told apart by a stored position, so any number of equal rows spreads over several ranges.
+
+    Without an order the numbers follow the partitions as they are read and nothing is shuffled,
+    which is what a fact table needs: its row id has to be dense and unique, nothing more.
 
     The rows are written once with their position in their partition, so that both passes see the
     same partitions; the second adds each partition's offset, which is one row per written
     partition and therefore small enough to broadcast.
     """
-    if order_by:
-        df = df.orderBy(*[F.col(column).asc_nulls_last() for column in order_by])
     columns = df.columns
-    staged = materialize(df.withColumn("_at", F.monotonically_increasing_id()), name)
+    ordering = list(order_by or [])
+    if ordering and repeated:
+        df = materialize(df.withColumn("_tie", F.monotonically_increasing_id()), f"{name}_ties")
+        ordering.append("_tie")
+    if ordering:
+        df = df.orderBy(*[F.col(column).asc_nulls_last() for column in ordering])
+    staged = materialize(df.select(*columns, F.monotonically_increasing_id().alias("_at")), name)
     partition = F.shiftright("_at", POSITION_BITS)
     position = F.col("_at") - F.shiftleft(partition, POSITION_BITS)
-    sizes = staged.groupBy(partition.alias("_partition")).agg(F.count("*").alias("_rows"))
-    if len(sizes.take(2)) < 2:
+    if len(staged.inputFiles()) < 2:
         return staged.select((position + 1).alias(name), *columns)
+    sizes = staged.groupBy(partition.alias("_partition")).agg(F.count("*").alias("_rows"))
     earlier = Window.orderBy("_partition").rowsBetween(Window.unboundedPreceding, -1)
     offsets = sizes.select("_partition", F.coalesce(F.sum("_rows").over(earlier), F.lit(0)).alias("_offset"))
     return (

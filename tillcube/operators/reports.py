@@ -8,6 +8,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from tillcube.functions.filters import with_known
 from tillcube.functions.measures import total
 
 MONTHS = tuple(range(1, 13))
@@ -15,12 +16,11 @@ MONTHS = tuple(range(1, 13))
 
 def totals_by(df: DataFrame, keys: Sequence[str], measures: Sequence[str]) -> DataFrame:
     """Sum of each measure per key; rows without a key form no group."""
-    known = df.dropna(subset=list(keys)) if keys else df
-    return known.groupBy(*keys).agg(*[total(F.col(name)).alias(name) for name in measures])
+    return with_known(df, keys).groupBy(*keys).agg(*[total(F.col(name)).alias(name) for name in measures])
 
 
 def rows_by(df: DataFrame, keys: Sequence[str], name: str) -> DataFrame:
-    return df.dropna(subset=list(keys)).groupBy(*keys).agg(F.count("*").alias(name))
+    return with_known(df, keys).groupBy(*keys).agg(F.count("*").alias(name))
 
 
 def distinct_by(df: DataFrame, key: str, value: str, name: str) -> DataFrame:
@@ -29,7 +29,7 @@ def distinct_by(df: DataFrame, key: str, value: str, name: str) -> DataFrame:
     Spark counts in two steps, first per key and value and then per key, so a hot key is spread
     over its values.
     """
-    return df.dropna(subset=[key]).groupBy(key).agg(F.count_distinct(value).alias(name))
+    return with_known(df, [key]).groupBy(key).agg(F.count_distinct(value).alias(name))
 
 
 def members(df: DataFrame, conditions: Mapping[str, object]) -> DataFrame:
@@ -40,7 +40,7 @@ def members(df: DataFrame, conditions: Mapping[str, object]) -> DataFrame:
 
 def with_subtotals(df: DataFrame, keys: Sequence[str], measures: Sequence[str], cube: bool = False) -> DataFrame:
     """All levels of a roll-up (or cube) in one pass; ``level`` tells them apart (0 is the finest)."""
-    known = df.dropna(subset=list(keys))
+    known = with_known(df, keys)
     grouped = known.cube(*keys) if cube else known.rollup(*keys)
     return grouped.agg(
         F.grouping_id().alias("level"), *[total(F.col(name)).alias(name) for name in measures]
@@ -55,7 +55,7 @@ def cross_tab(
     Pass ``values`` where the members are known; otherwise Spark looks them up in a job of its own
     and refuses when there are too many of them to be columns.
     """
-    known = df.dropna(subset=[row, column])
+    known = with_known(df, [row, column])
     pivoted = known.groupBy(row).pivot(column, list(values) if values else None).agg(F.sum(measure))
     cells = {name: F.coalesce(F.col(f"`{name}`"), F.lit(0)) for name in pivoted.columns if name != row}
     return pivoted.withColumns(cells)
@@ -85,7 +85,7 @@ def most_frequent(df: DataFrame, key: str, value: str, default: str, name: str)
 
     Values are counted per key and value first, so no task holds all values of a hot key.
     """
-    counts = df.dropna(subset=[key]).groupBy(key, value).agg(F.count(value).alias("_n"))
+    counts = with_known(df, [key]).groupBy(key, value).agg(F.count(value).alias("_n"))
     best = F.min(F.when(F.col(value).isNotNull(), F.struct(-F.col("_n"), F.col(value).alias("_value"))))
     return counts.groupBy(key).agg(F.coalesce(best["_value"], F.lit(default)).alias(name))
 

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from tillcube.contract import UNKNOWN_PRODUCT
 from tillcube.functions.calendar import with_calendar
+from tillcube.functions.filters import with_known
 from tillcube.operators.dedup import first_per_key
 from tillcube.operators.numbering import number_rows
 from tillcube.operators.reports import most_frequent
@@ -28,7 +29,7 @@ def product_dimension(lines: DataFrame, name: str = "product_name") -> DataFrame
 
 def date_dimension(lines: DataFrame, *parts: str) -> DataFrame:
     """One row per day with sales, with the named calendar parts."""
-    days = lines.select(F.to_date("invoice_date").alias("date")).dropna().distinct()
+    days = with_known(lines, ["invoice_date"]).select(F.to_date("invoice_date").alias("date")).distinct()
     return with_calendar(number_rows(days, "date_key", ["date"]), "date", *parts)
 
 

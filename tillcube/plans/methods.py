@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tillcube.functions.filters import with_known
 from tillcube.operators import reports
 from tillcube.operators.align import stack
 from tillcube.plans.olap_pack import sales_lines
@@ -39,7 +40,7 @@ def by_pivot(sales: DataFrame) -> DataFrame:
     measured = sales.withColumn("_measure", F.lit("total_price"))
 
     def pivoted(key: str) -> DataFrame:
-        grouped = measured.dropna(subset=[key]).groupBy(key).pivot("_measure", ["total_price"])
+        grouped = with_known(measured, [key]).groupBy(key).pivot("_measure", ["total_price"])
         return grouped.agg(F.sum("total_price"))
 
     return _stacked(

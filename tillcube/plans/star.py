@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tillcube.functions.calendar import period_of
+from tillcube.functions.filters import with_known
 from tillcube.functions.measures import (
     gross_part,
     is_cancelled,
@@ -87,7 +88,7 @@ def sales_by_country(star: dict[str, DataFrame]) -> DataFrame:
 
 
 def sales_by_month(star: dict[str, DataFrame]) -> DataFrame:
-    days = net_gross_returns(star["fact_sales"].dropna(subset=["date_key"]), ["date_key"])
+    days = net_gross_returns(with_known(star["fact_sales"], ["date_key"]), ["date_key"])
     measures = ("net_sales", "gross_sales", "returns", "transaction_lines")
     months = (
         days.join(star["dim_date"].select("date_key", "year", "month"), "date_key", "left")

@@ -27,7 +27,7 @@ def _line_columns() -> list[Column]:
     cancelled = returned & (F.col("l_linestatus") == "F")
     quantity = F.when(returned, -F.col("l_quantity")).otherwise(F.col("l_quantity"))
     free = (F.col("p_size") == 50) & (F.col("l_linenumber") == 7)
-    price = F.col("p_retailprice").cast("decimal(12,2)") + F.col("l_discount").cast("decimal(12,2)")
+    price = F.col("list_price") + F.col("l_discount").cast("decimal(12,2)")
     return [
         F.concat(
             F.when(cancelled, "C").otherwise(""), F.col("l_orderkey").cast("string")
@@ -48,11 +48,13 @@ def _joined(spark: SparkSession, folder: str) -> DataFrame:
     lineitem, orders, part, customer, nation = (
         load_table(spark, folder, name) for name in ("lineitem", "orders", "part", "customer", "nation")
     )
-    return (
-        lineitem.join(part, F.col("l_partkey") == F.col("p_partkey"))
-        .join(orders, F.col("l_orderkey") == F.col("o_orderkey"))
-        .join(customer, F.col("o_custkey") == F.col("c_custkey"))
-        .join(nation, F.col("c_nationkey") == F.col("n_nationkey"))
+    # Customers and countries join the orders, of which there are fewer than lines.
+    headers = orders.join(customer, F.col("o_custkey") == F.col("c_custkey")).join(
+        nation, F.col("c_nationkey") == F.col("n_nationkey")
+    )
+    priced = part.withColumn("list_price", F.col("p_retailprice").cast("decimal(12,2)"))
+    return lineitem.join(priced, F.col("l_partkey") == F.col("p_partkey")).join(
+        headers, F.col("l_orderkey") == F.col("o_orderkey")
     )
 
 
