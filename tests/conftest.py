@@ -18,7 +18,12 @@ def spark():
     session = build_session(
         "tests",
         "local[8]",
-        {"spark.sql.shuffle.partitions": "8", "spark.ui.enabled": "false", "spark.driver.memory": "4g"},
+        {
+            "spark.sql.shuffle.partitions": "8",
+            "spark.sql.maxMetadataStringLength": "5000",
+            "spark.ui.enabled": "false",
+            "spark.driver.memory": "4g",
+        },
     )
     session.sparkContext.setLogLevel("ERROR")
     yield session

@@ -5,6 +5,7 @@ import re
 from __spark_entry__ import queries
 from tillcube.operators.cleaning import RULES, clean
 from tillcube.sources.sample_tables import load_table, retail_lines
+from tillcube.sources.shared import new_path
 
 QUERIES = queries()
 
@@ -16,6 +17,11 @@ def plan(df):
 def test_filters_and_columns_reach_the_scan(spark, small):
     text = plan(load_table(spark, small, "orders").where("o_totalprice > 1000").select("o_custkey"))
     assert "PushedFilters: [IsNotNull(o_totalprice), GreaterThan(o_totalprice,1000.0)]" in text
+    path = new_path(spark, "lines")
+    retail_lines(spark, small).write.parquet(path)
+    stored = clean(spark.read.parquet(path), RULES["star"])._jdf.queryExecution().executedPlan().toString()
+    pushed = re.search(r"PushedFilters: \[([^\]]*)\]", stored).group(1)
+    assert "GreaterThan(quantity,0)" in pushed and "IsNotNull(customer_id)" in pushed
     lines = clean(retail_lines(spark, small), RULES["star"]).groupBy("country").count()
     schemas = re.findall(r"ReadSchema: struct<([^>]*)>", lines._jdf.queryExecution().executedPlan().toString())
     assert not any("l_tax" in schema or "p_brand" in schema for schema in schemas)

@@ -43,6 +43,13 @@ def test_round_trip_keeps_text(spark, folder):
     assert plain(files.read_csv(spark, f"{folder}/out", encoding="ISO-8859-1")) == plain(df)
 
 
+def test_a_file_with_another_header_is_an_error(spark, folder):
+    for name, header in (("a", "x,y"), ("b", "y,x")):
+        write_text(f"{folder}/{name}.csv", f"{header}\n1,2\n")
+    with pytest.raises(Exception, match="(?i)header"):
+        files.read_csv(spark, folder).collect()
+
+
 def test_line_breaks_inside_quotes(spark, folder):
     path = f"{folder}/notes.csv"
     write_text(path, 'a,b\n1,"two\nlines"\n')

@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 
 from tillcube.contract import LINEAGE, UNKNOWN_COUNTRY, UNKNOWN_PRODUCT
 from tillcube.functions import measures
+from tillcube.functions.filters import all_known
 from tillcube.operators.dedup import count_copies, first_by_rank
 
 TEXT_COLUMNS = ("invoice_no", "stock_code", "description", "country")
@@ -61,29 +62,28 @@ def _before_rules(lines: DataFrame, rules: Rules) -> DataFrame:
     return fill_defaults(lines) if rules.defaults == "first" else lines
 
 
-def _violations(rules: Rules) -> Iterable[tuple[str, Column]]:
-    """Name and test of each rule in the order in which they apply; a test is never null."""
+def _conditions(rules: Rules) -> Iterable[tuple[str, Column]]:
+    """What a kept line meets, by the name of the rule it would break, in the order of the rules.
+
+    The conditions are plain comparisons, which the optimizer pushes to the scan; null means broken.
+    """
     if rules.required:
-        missing = F.lit(False)
-        for name in rules.required:
-            missing = missing | F.col(name).isNull()
-        yield "missing_key_data", missing
+        yield "missing_key_data", all_known(rules.required)
     if rules.cancelled:
-        any_case = rules.cancelled == "any_case"
-        yield "cancelled_invoice", measures.is_cancelled(F.col("invoice_no"), any_case)
+        number = F.upper("invoice_no") if rules.cancelled == "any_case" else F.col("invoice_no")
+        yield "cancelled_invoice", number.isNull() | ~number.startswith(measures.CANCELLED_PREFIX)
     if rules.positive_quantity:
-        yield "quantity_not_positive", ~F.coalesce(F.col("quantity") > 0, F.lit(False))
+        yield "quantity_not_positive", F.col("quantity") > 0
     if rules.price:
-        strict = rules.price == "positive"
-        good = F.col("unit_price") > 0 if strict else F.col("unit_price") >= 0
-        yield "unit_price_rejected", ~F.coalesce(good, F.lit(False))
+        price = F.col("unit_price")
+        yield "unit_price_rejected", price > 0 if rules.price == "positive" else price >= 0
 
 
 def first_violation(rules: Rules) -> Column:
     """Name of the first rule that a line breaks, null for a line that is kept."""
     label = F.lit(None).cast("string")
-    for name, broken in reversed(list(_violations(rules))):
-        label = F.when(broken, F.lit(name)).otherwise(label)
+    for name, condition in reversed(list(_conditions(rules))):
+        label = F.when(F.coalesce(condition, F.lit(False)), label).otherwise(F.lit(name))
     return label
 
 
@@ -106,8 +106,8 @@ def clean(lines: DataFrame, rules: Rules) -> DataFrame:
     equal lines collapsed before it. Of the lineage only ``source_rank`` outlives that step.
     """
     lines = _before_rules(lines, rules)
-    for _, broken in _violations(rules):
-        lines = lines.where(~broken)
+    for _, condition in _conditions(rules):
+        lines = lines.where(condition)
     if rules.drop_duplicates:
         lines = drop_duplicates(lines)
     return fill_defaults(lines) if rules.defaults == "last" else lines
@@ -171,7 +171,7 @@ def removal_funnel(lines: DataFrame, rules: Rules) -> DataFrame:
     weight = F.lit(1) if rules.drop_duplicates else F.col("copies")
     value = measures.line_value(F.col("quantity"), F.col("unit_price")) * weight
     removed = [
-        _rows_where(F.col("broken") == name).alias(f"removed_{name}") for name, _ in _violations(rules)
+        _rows_where(F.col("broken") == name).alias(f"removed_{name}") for name, _ in _conditions(rules)
     ]
     if rules.drop_duplicates:
         repeats = F.sum(F.when(kept, F.col("copies") - 1))

@@ -7,6 +7,9 @@ from __future__ import annotations
 
 from pyspark.sql import SparkSession
 
+# Largest dimension that a join may broadcast. Spark compares it with the size of the written table.
+DIMENSION_LIMIT = "64m"
+
 
 def build_session(
     app_name: str = "tillcube",
@@ -24,6 +27,7 @@ def build_session(
         .config("spark.sql.adaptive.enabled", "true")
         .config("spark.sql.adaptive.skewJoin.enabled", "true")
         .config("spark.sql.adaptive.coalescePartitions.enabled", "true")
+        .config("spark.sql.autoBroadcastJoinThreshold", DIMENSION_LIMIT)
     )
     if master:
         builder = builder.master(master)

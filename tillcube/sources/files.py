@@ -23,7 +23,8 @@ def read_csv(
     """Scan CSV files with a header row.
 
     Without ``schema`` every column is text under its header name and only the header is read
-    ahead; typing is a later projection. ``multi_line`` allows line breaks inside quotes but stops
+    ahead; typing is a later projection. A file whose header differs from the schema is an error
+    rather than a mix-up of columns. ``multi_line`` allows line breaks inside quotes but stops
     Spark from splitting a file, so it is off unless a source needs it.
     """
     reader = (
@@ -33,6 +34,7 @@ def read_csv(
         .option("escape", '"')
         .option("multiLine", multi_line)
         .option("recursiveFileLookup", recursive)
+        .option("enforceSchema", False)
     )
     if schema is not None:
         reader = reader.schema(schema)
