@@ -7,7 +7,8 @@ import pytest
 from pyspark.sql import functions as F
 from retail import plain
 
-from tillcube.operators.history import attach_version, month_bucket, version_history
+from tillcube.operators import history as time_lines
+from tillcube.operators.history import attach_version, version_history
 
 START = datetime(2011, 1, 30)
 
@@ -21,7 +22,7 @@ def table(spark, rows):
     return spark.createDataFrame(moments, "key int, at timestamp_ntz, value string")
 
 
-def history(spark, rows, bucket=month_bucket):
+def history(spark, rows, bucket=time_lines.day):
     return version_history(table(spark, rows), ["key"], "value", "at", bucket)
 
 
@@ -67,7 +68,7 @@ def test_missing_value_is_a_value(spark):
     assert [(row[1], row[2]) for row in versions] == [("A", day(2)), (None, day(0)), (None, day(70))]
 
 
-@pytest.mark.parametrize("bucket", [month_bucket, F.to_date, lambda at: F.trunc(at, "year")])
+@pytest.mark.parametrize("bucket", [time_lines.day, lambda at: F.trunc(at, "month"), lambda at: F.trunc(at, "year")])
 @pytest.mark.parametrize("values", ["A", "AB", "ABCD"])
 def test_against_plain_python(spark, bucket, values):
     generator = random.Random(len(values))

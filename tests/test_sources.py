@@ -61,6 +61,7 @@ def test_parts_keep_their_name(spark, folder):
     sinks.write_csv(df, f"{folder}/book/Year 2009-2010", "ISO-8859-1")
     sinks.write_csv(df.union(df), f"{folder}/book/Year 2010-2011", "ISO-8859-1")
     parts = files.read_parts(spark, f"{folder}/book")
+    assert files.part_names(spark, f"{folder}/book") == ["Year 2009-2010", "Year 2010-2011"]
     assert plain(parts.groupBy("source_sheet").count()) == [("Year 2009-2010", 1), ("Year 2010-2011", 2)]
 
 

@@ -17,9 +17,9 @@ from tillcube.functions.filters import with_known
 Bucket = Callable[[Column], Column]
 
 
-def month_bucket(at: Column) -> Column:
-    """Default time bucket. For streams finer than seconds pass ``F.to_date`` instead."""
-    return F.trunc(at, "month")
+def day(at: Column) -> Column:
+    """Default time bucket: at a resolution of seconds no key has more than 86,400 moments in it."""
+    return F.to_date(at)
 
 
 def on_time_line(df: DataFrame, key: Sequence[str], at: str, bucket: Bucket) -> DataFrame:
@@ -38,7 +38,7 @@ def one_value_per_moment(df: DataFrame, key: Sequence[str], tracked: str, at: st
 
 
 def version_history(
-    df: DataFrame, key: Sequence[str], tracked: str, at: str, bucket: Bucket = month_bucket
+    df: DataFrame, key: Sequence[str], tracked: str, at: str, bucket: Bucket = day
 ) -> DataFrame:
     """One row per run of equal tracked values, with a half-open validity interval.
 
@@ -107,7 +107,7 @@ def attach_version(
     key: Sequence[str],
     at: str,
     columns: Sequence[str],
-    bucket: Bucket = month_bucket,
+    bucket: Bucket = day,
 ) -> DataFrame:
     """Left-join to each fact the ``columns`` of the version valid at its moment.
 

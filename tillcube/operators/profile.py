@@ -48,10 +48,14 @@ def missing_values(df: DataFrame) -> DataFrame:
 
     The percentage has two places, like the counters of the quality reports.
     """
-    nulls = [F.struct(F.count_if(F.col(f"`{c}`").isNull()).alias("n"), F.count("*").alias("rows")).alias(c) for c in df.columns]
+    nulls = []
+    for name in df.columns:
+        missing = F.count_if(F.col(f"`{name}`").isNull())
+        nulls.append(F.struct(missing.alias("n"), F.count("*").alias("rows")).alias(name))
     long = _per_column(df.agg(*nulls), df.columns, "found")
     dtypes = F.create_map(*[F.lit(text) for pair in df.dtypes for text in pair])
-    percent = F.when(F.col("found.rows") > 0, F.col("found.n") * F.lit(100).cast("decimal(5,0)") / F.col("found.rows"))
+    hundredfold = F.col("found.n") * F.lit(100).cast("decimal(5,0)")
+    percent = F.when(F.col("found.rows") > 0, hundredfold / F.col("found.rows"))
     return long.select(
         "column_name",
         F.element_at(dtypes, F.col("column_name")).alias("dtype"),

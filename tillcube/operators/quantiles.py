@@ -19,8 +19,9 @@ def quantiles(counts: DataFrame, group: str, value: str, copies: str, probabilit
     """One row per group with columns q0, q1, ... for the given probabilities.
 
     ``counts`` holds each distinct value of a group once, with its number of copies; groups are few
-    (the columns of a table), their values may be many. The values are sorted by range partitioning and written; the sums of the written pieces tell which pieces hold
-    a wanted position, and only those are looked at value by value. No task sees a whole group.
+    (the columns of a table), their values may be many. The values are sorted by range partitioning
+    and written; the sums of the written pieces tell which pieces hold a wanted position, and only
+    those are looked at value by value. No task sees a whole group.
     """
     ordered = counts.select(group, value, copies).where(F.col(value).isNotNull()).orderBy(group, value)
     staged = materialize(ordered.withColumn("_at", F.monotonically_increasing_id()), "quantiles")

@@ -133,7 +133,11 @@ def warehouse_sink_counts(spark: SparkSession, folder: str) -> DataFrame:
     tables["fact_sales"] = tables["fact_sales"].join(days, "date_key", "left")
     sinks.write_warehouse(tables, path, {"fact_sales": ["year", "month"]})
     stored = sinks.read_warehouse(spark, path, list(tables))
-    return align.stack([table.agg(F.lit(name).alias("table_name"), F.count("*").alias("rows_count")) for name, table in stored.items()])
+    counts = [
+        table.agg(F.lit(name).alias("table_name"), F.count("*").alias("rows_count"))
+        for name, table in stored.items()
+    ]
+    return align.stack(counts)
 
 
 @registered

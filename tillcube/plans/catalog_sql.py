@@ -297,7 +297,8 @@ def _each(template, columns) -> str:
 
 
 FOOTPRINT = _each(
-    lambda c, t: f"select '{c}' as column_name, {_bytes(c, t)} as bytes_before, {_narrow_bytes(c, t)} as bytes_after from lineitem",
+    lambda c, t: f"""select '{c}' as column_name, {_bytes(c, t)} as bytes_before,
+      {_narrow_bytes(c, t)} as bytes_after from lineitem""",
     LINEITEM.items(),
 )
 
@@ -597,7 +598,8 @@ BODIES: dict[str, str] = {
     "dim_invoice": """select invoice_key, invoice_no, invoice_date as invoice_datetime,
       strftime(invoice_date, '%Y-%m-%d') as invoice_date, cast(hour(invoice_date) as integer) as invoice_hour
       from star_invoices""",
-    "lookup_product_key": """select invoice_no, l.stock_code, product_key, quantity, cast(unit_price as double) as unit_price
+    "lookup_product_key": """select invoice_no, l.stock_code, product_key, quantity,
+      cast(unit_price as double) as unit_price
       from lines l left join products p on l.stock_code = p.stock_code""",
     "fact_row_ids": f"""select row_number() over (order by {", ".join(LINEITEM)}) as line_id, {", ".join(LINEITEM)}
       from lineitem""",

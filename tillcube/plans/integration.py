@@ -24,6 +24,11 @@ def _by_rank(sources: Sequence[Source], attribute: str) -> Column:
     return F.element_at(F.array(*[F.lit(getattr(source, attribute)) for source in sources]), F.col("source_rank"))
 
 
+def contract_lines(sources: Sequence[Source]) -> DataFrame:
+    """Typed lines of all sources without lineage, for jobs that do not tell sources apart."""
+    return stack_sources(sources, fill_missing=False).select(*COLUMNS)
+
+
 def integrated_lines(sources: Sequence[Source], stacked: DataFrame | None = None) -> DataFrame:
     """Cleaned lines of all sources; of equal lines the one of the earliest source is kept.
 

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from pathlib import PurePosixPath
+from urllib.parse import unquote
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -68,3 +69,9 @@ def read_parts(
     lines = read_csv(spark, folder, encoding=encoding, recursive=True)
     part = F.element_at(F.split(F.col("_metadata.file_path"), "/"), -2)
     return lines.select("*", F.url_decode(part).alias(part_column))
+
+
+def part_names(spark: SparkSession, folder: str) -> list[str]:
+    """Names of the part directories of a folder, from the listing of its files."""
+    listed = read_csv(spark, folder, recursive=True).inputFiles()
+    return sorted({unquote(PurePosixPath(path).parent.name) for path in listed})
