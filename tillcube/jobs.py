@@ -95,8 +95,11 @@ def integrate_job(sources: Sequence[Source], options: argparse.Namespace) -> Res
 
 
 def olap_job(sources: Sequence[Source], options: argparse.Namespace) -> Result:
-    stacked = align.stack_sources(sources, fill_missing=False)
-    return Result(reports=olap_pack.build_reports(stacked, options.country, options.year))
+    stacked = materialize(align.stack_sources(sources, fill_missing=False), "stacked_sources")
+    results = olap_pack.build_reports(stacked, options.country, options.year)
+    results["source_row_counts"] = align.rows_per_source(stacked)
+    results["quality_report"] = quality_counters(stacked, RULES["olap"])
+    return Result(reports=results)
 
 
 def sales_job(sources: Sequence[Source], options: argparse.Namespace) -> Result:
@@ -115,8 +118,7 @@ def narrow_job(sources: Sequence[Source], options: argparse.Namespace) -> Result
     small = narrow.narrow(before)
     coded, dictionaries = narrow.dictionary_encode(small, text)
     after = materialize(coded, "narrow_lines")
-    countries = dictionaries["country"]
-    chosen = {"before": before, "after": after.join(countries, "country_code", "left")}
+    chosen = {"before": before, "after": after.join(dictionaries["country"], "country_code", "left")}
     sizes = [
         profile.footprint(table).agg(F.lit(name).alias("version"), F.sum("bytes").alias("bytes"))
         for name, table in (("before", before), ("after", after))
@@ -127,8 +129,9 @@ def narrow_job(sources: Sequence[Source], options: argparse.Namespace) -> Result
         "memory_comparison": compare.difference_to(align.stack(sizes), "version", "before", "bytes"),
     }
     for name, table in chosen.items():
-        results[f"{name}_sales_by_country"] = reports.totals_by(table, ["country"], ["total_price"])
-        results[f"{name}_sales_by_month"] = reports.totals_by(table, ["month"], ["total_price"])
+        countries = reports.totals_by(table, ["country"], ["total_price"])
+        results[f"{name}_sales_by_country"] = reports.ranked(countries, "total_price", "country")
+        results[f"{name}_sales_by_month"] = reports.totals_by(table, ["month"], ["total_price"]).orderBy("month")
         customers = reports.totals_by(table, ["customer_id"], ["total_price"])
         results[f"{name}_top10_customers"] = reports.top(customers, 10, "total_price", "customer_id")
         one_country = reports.members(table, {"country": options.country})

@@ -406,12 +406,12 @@ def _olap(spark: SparkSession, folder: str) -> DataFrame:
 
 @registered
 def rollup_year(spark: SparkSession, folder: str) -> DataFrame:
-    return olap_pack.by_year(_olap(spark, folder)).orderBy("year")
+    return olap_pack.by_year(_olap(spark, folder))
 
 
 @registered
 def drilldown_year_month(spark: SparkSession, folder: str) -> DataFrame:
-    return olap_pack.by_month(_olap(spark, folder)).orderBy("year", "month")
+    return olap_pack.by_month(_olap(spark, folder))
 
 
 @registered
@@ -428,12 +428,12 @@ def cube_with_totals(spark: SparkSession, folder: str) -> DataFrame:
 
 @registered
 def slice_monthly(spark: SparkSession, folder: str) -> DataFrame:
-    return olap_pack.one_country(_olap(spark, folder), SLICE_COUNTRY).orderBy("year", "month")
+    return olap_pack.one_country(_olap(spark, folder), SLICE_COUNTRY)
 
 
 @registered
 def dice_monthly(spark: SparkSession, folder: str) -> DataFrame:
-    return olap_pack.one_country_and_year(_olap(spark, folder), SLICE_COUNTRY, DICE_YEAR).orderBy("month")
+    return olap_pack.one_country_and_year(_olap(spark, folder), SLICE_COUNTRY, DICE_YEAR)
 
 
 @registered

@@ -588,7 +588,7 @@ BODIES: dict[str, str] = {
     "before_after_comparison": "select * from comparison",
     "filter_summary": """select operation, before_value, after_value from comparison
       where starts_with(operation, 'filter_')""",
-    "encoding_equivalence": """select report, 0 as unequal_rows
+    "encoding_equivalence": """select report, cast(0 as bigint) as unequal_rows
       from (values ('sales_by_country'), ('sales_by_month'), ('sales_by_customer_id')) as r(report)""",
     "dim_country": "select country_key, country_name from star_countries",
     "dim_product": "select product_key, stock_code, product_name from star_products",
@@ -603,7 +603,7 @@ BODIES: dict[str, str] = {
       from lines l left join products p on l.stock_code = p.stock_code""",
     "fact_row_ids": f"""select row_number() over (order by {", ".join(LINEITEM)}) as line_id, {", ".join(LINEITEM)}
       from lineitem""",
-    "fact_row_ids_unordered": """select count(*) as rows_count, 1 as lowest_id, count(*) as highest_id,
+    "fact_row_ids_unordered": """select count(*) as rows_count, cast(1 as bigint) as lowest_id, count(*) as highest_id,
       count(*) as distinct_ids from lineitem""",
     "scd2_history": """select user_id, event_type, valid_from, valid_to, valid_to is null as current_flag
       from event_versions""",

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from tillcube.functions.calendar import with_calendar
 from tillcube.functions.measures import line_value
 from tillcube.operators.cleaning import RULES, clean, quality_counters
-from tillcube.operators.reports import totals_by
+from tillcube.operators.reports import ranked, totals_by
 from tillcube.sources.shared import materialize
 
 MEASURES = ("revenue", "quantity", "transaction_lines")
@@ -46,6 +46,6 @@ def build_fact(lines: DataFrame) -> dict[str, DataFrame]:
             "line_count",
         ),
         "quality_report": quality_counters(lines, rules),
-        "sales_by_country": control_totals(facts, "country"),
-        "sales_by_month": control_totals(facts, "year", "month"),
+        "sales_by_country": ranked(control_totals(facts, "country"), "revenue", "country"),
+        "sales_by_month": control_totals(facts, "year", "month").orderBy("year", "month"),
     }

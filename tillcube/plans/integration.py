@@ -13,6 +13,7 @@ from tillcube.operators.align import Source, rows_per_source, stack_sources
 from tillcube.operators.cleaning import RULES, clean, quality_counters
 from tillcube.operators.dedup import duplicate_key_text, duplicate_members, price_conflicts
 from tillcube.operators.numbering import number_rows
+from tillcube.operators.reports import ranked
 from tillcube.plans.etl import control_totals, fact_lines
 from tillcube.sources.shared import materialize
 
@@ -77,7 +78,7 @@ def integrate(sources: Sequence[Source]) -> dict[str, DataFrame]:
         "quality_report": quality_counters(stacked, INTEGRATED),
         "duplicates": duplicates(stacked),
         "price_conflicts": price_conflicts(facts),
-        "sales_by_country": control_totals(facts, "country"),
-        "sales_by_month": control_totals(facts, "year", "month"),
-        "source_rows_count": rows_per_source(facts),
+        "sales_by_country": ranked(control_totals(facts, "country"), "revenue", "country"),
+        "sales_by_month": control_totals(facts, "year", "month").orderBy("year", "month"),
+        "source_rows_count": rows_per_source(facts).orderBy("source_system", "source_sheet"),
     }

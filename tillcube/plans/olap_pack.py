@@ -5,6 +5,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
 from tillcube.functions.calendar import with_calendar
 from tillcube.operators import reports
@@ -21,11 +22,11 @@ def sales_lines(lines: DataFrame, rules: str = "olap") -> DataFrame:
 
 
 def by_year(sales: DataFrame) -> DataFrame:
-    return reports.totals_by(sales, ["year"], MEASURES)
+    return reports.totals_by(sales, ["year"], MEASURES).orderBy("year")
 
 
 def by_month(sales: DataFrame) -> DataFrame:
-    return reports.totals_by(sales, ["year", "month"], MEASURES)
+    return reports.totals_by(sales, ["year", "month"], MEASURES).orderBy("year", "month")
 
 
 def one_country(sales: DataFrame, country: str) -> DataFrame:
@@ -34,7 +35,7 @@ def one_country(sales: DataFrame, country: str) -> DataFrame:
 
 def one_country_and_year(sales: DataFrame, country: str, year: int) -> DataFrame:
     chosen = reports.members(sales, {"country": country, "year": year})
-    return reports.totals_by(chosen, ["month"], MEASURES)
+    return reports.totals_by(chosen, ["month"], MEASURES).orderBy("month")
 
 
 def top_countries(sales: DataFrame, count: int = 10) -> DataFrame:
@@ -83,12 +84,12 @@ def build_reports(lines: DataFrame, country: str, year: int, years: Sequence[int
         "drilldown_year_month": by_month(sums),
         "slice_monthly": one_country(sums, country),
         "dice_monthly": one_country_and_year(sums, country, year),
-        "pivot_country_year": country_by_year(sums, years),
+        "pivot_country_year": country_by_year(sums, years).orderBy("country"),
         "top_countries": top_countries(sums),
         "month_ranking": ranking,
         "best_month": ranking.limit(1),
-        "cube_country_month": country_by_month(sums),
-        "best_year_by_country": best_years(sums),
-        "top_products_by_country": top_products(sums),
-        "heat_map": heat_map(sums),
+        "cube_country_month": country_by_month(sums).orderBy("country"),
+        "best_year_by_country": best_years(sums).orderBy("country"),
+        "top_products_by_country": top_products(sums).orderBy("country", F.col("total_price").desc(), "stock_code"),
+        "heat_map": heat_map(sums).orderBy("country"),
     }

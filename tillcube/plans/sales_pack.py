@@ -45,7 +45,7 @@ def build_reports(lines: DataFrame) -> dict[str, DataFrame]:
     months, countries, customers = month_sales(sums), country_ranking(sums), customer_revenue(sums)
     segments = materialize(country_segments(sums), "country_segments")
     return {
-        "country_by_month": reports.cross_tab(sums, "country", "month", MEASURE, reports.MONTHS),
+        "country_by_month": reports.cross_tab(sums, "country", "month", MEASURE, reports.MONTHS).orderBy("country"),
         "month_ranking": months,
         "best_month": months.limit(1),
         "country_ranking": countries,
@@ -53,8 +53,8 @@ def build_reports(lines: DataFrame) -> dict[str, DataFrame]:
         "customer_revenue": customers,
         "top_customers": customers.limit(10),
         "customer_summary": member_summary(customers, MEASURE),
-        "country_segments": segments,
-        "segment_summary": segment_summary(segments, "country", MEASURE),
+        "country_segments": reports.ranked(segments, MEASURE, "country"),
+        "segment_summary": reports.ranked(segment_summary(segments, "country", MEASURE), "total_revenue", "segment"),
         "top_segment_share": top_segment_share(segments, MEASURE),
         "seasonality": seasonality(months, MEASURE),
     }

@@ -16,7 +16,7 @@ from tillcube.functions.measures import (
 )
 from tillcube.operators.cleaning import RULES, clean
 from tillcube.operators.numbering import number_rows
-from tillcube.operators.reports import net_gross_returns
+from tillcube.operators.reports import net_gross_returns, ranked
 from tillcube.plans.dimensions import (
     country_dimension,
     customer_dimension,
@@ -84,7 +84,8 @@ def build_star(lines: DataFrame) -> dict[str, DataFrame]:
 def sales_by_country(star: dict[str, DataFrame]) -> DataFrame:
     """The fact is summed by its surrogate key first; only the sums meet the dimension."""
     sums = net_gross_returns(star["fact_sales"], ["country_key"])
-    return sums.join(star["dim_country"], "country_key", "left").drop("country_key")
+    named = sums.join(star["dim_country"], "country_key", "left").drop("country_key")
+    return ranked(named, "net_sales", "country_name")
 
 
 def sales_by_month(star: dict[str, DataFrame]) -> DataFrame:
@@ -95,4 +96,4 @@ def sales_by_month(star: dict[str, DataFrame]) -> DataFrame:
         .groupBy("year", "month")
         .agg(*[F.sum(name).alias(name) for name in measures])
     )
-    return months.withColumn("period", period_of(F.col("year"), F.col("month")))
+    return months.withColumn("period", period_of(F.col("year"), F.col("month"))).orderBy("year", "month")

@@ -9,6 +9,7 @@ from tillcube.functions.measures import line_value, total
 from tillcube.operators.cleaning import RULES, clean
 from tillcube.operators.history import attach_version, version_history
 from tillcube.operators.numbering import number_rows
+from tillcube.operators.reports import ranked
 from tillcube.plans.dimensions import (
     country_dimension,
     date_dimension,
@@ -74,7 +75,8 @@ def _sums(fact: DataFrame, key: str) -> DataFrame:
 
 def sales_by_country(star: dict[str, DataFrame]) -> DataFrame:
     sums = _sums(star["fact_sales"], "country_key")
-    return sums.join(star["dim_country"], "country_key", "left").drop("country_key")
+    named = sums.join(star["dim_country"], "country_key", "left").drop("country_key")
+    return ranked(named, "revenue", "country_name")
 
 
 def sales_by_month(star: dict[str, DataFrame]) -> DataFrame:
@@ -83,9 +85,11 @@ def sales_by_month(star: dict[str, DataFrame]) -> DataFrame:
         days.join(star["dim_date"].select("date_key", "year", "month"), "date_key", "left")
         .groupBy("year", "month")
         .agg(*[F.sum(name).alias(name) for name in ("revenue", "quantity", "lines")])
+        .orderBy("year", "month")
     )
 
 
 def sales_by_product(star: dict[str, DataFrame]) -> DataFrame:
     sums = _sums(star["fact_sales"], "product_key").drop("lines")
-    return sums.join(star["dim_product"], "product_key", "left").drop("product_key")
+    named = sums.join(star["dim_product"], "product_key", "left").drop("product_key")
+    return ranked(named, "revenue", "stock_code")
