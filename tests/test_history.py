@@ -22,8 +22,8 @@ def table(spark, rows):
     return spark.createDataFrame(moments, "key int, at timestamp_ntz, value string")
 
 
-def history(spark, rows, bucket=time_lines.day):
-    return version_history(table(spark, rows), ["key"], "value", "at", bucket)
+def history(spark, rows, bucket=time_lines.day, limit=time_lines.WINDOW_LIMIT):
+    return version_history(table(spark, rows), ["key"], "value", "at", bucket, limit)
 
 
 def one_by_one(rows):
@@ -45,9 +45,10 @@ def one_by_one(rows):
     return sorted(versions, key=lambda row: tuple((v is None, str(v)) for v in row))
 
 
-def test_there_and_back(spark):
+@pytest.mark.parametrize("limit", [0, 3, 100])
+def test_there_and_back(spark, limit):
     rows = [(1, 0, "A"), (1, 1, "A"), (1, 2, "B"), (1, 40, "B"), (1, 41, "A"), (2, 5, "C")]
-    assert plain(history(spark, rows)) == [
+    assert plain(history(spark, rows, limit=limit)) == [
         (1, "A", day(0), day(2), False),
         (1, "A", day(41), None, True),
         (1, "B", day(2), day(41), False),
@@ -63,23 +64,27 @@ def test_rows_without_key_are_left_out(spark):
     assert plain(history(spark, [(None, 0, "A"), (1, 0, "A")])) == [(1, "A", day(0), None, True)]
 
 
-def test_missing_value_is_a_value(spark):
-    versions = plain(history(spark, [(1, 0, None), (1, 1, None), (1, 2, "A"), (1, 70, None)]))
+@pytest.mark.parametrize("limit", [0, 100])
+def test_missing_value_is_a_value(spark, limit):
+    versions = plain(history(spark, [(1, 0, None), (1, 1, None), (1, 2, "A"), (1, 70, None)], limit=limit))
     assert [(row[1], row[2]) for row in versions] == [("A", day(2)), (None, day(0)), (None, day(70))]
 
 
 @pytest.mark.parametrize("bucket", [time_lines.day, lambda at: F.trunc(at, "month"), lambda at: F.trunc(at, "year")])
-@pytest.mark.parametrize("values", ["A", "AB", "ABCD"])
-def test_against_plain_python(spark, bucket, values):
+@pytest.mark.parametrize("limit", [0, 100, 1000])
+@pytest.mark.parametrize("values", ["A", "ABC"])
+def test_against_plain_python(spark, bucket, values, limit):
+    """A limit of 0 makes every key hot, 100 only the first one."""
     generator = random.Random(len(values))
     rows = [
         (generator.choice([1, 1, 1, 2, 3]), generator.randrange(0, 900), generator.choice(values))
         for _ in range(400)
     ]
-    assert plain(history(spark, rows, bucket)) == one_by_one(rows)
+    assert plain(history(spark, rows, bucket, limit)) == one_by_one(rows)
 
 
-def test_attach_version_edges(spark):
+@pytest.mark.parametrize("limit", [0, 100])
+def test_attach_version_edges(spark, limit):
     versions = spark.createDataFrame(
         [(1, day(0), day(10), "a"), (1, day(10), day(20), "b"), (1, day(50), None, "c")],
         "key int, valid_from timestamp_ntz, valid_to timestamp_ntz, name string",
@@ -87,19 +92,20 @@ def test_attach_version_edges(spark):
     wanted = {-1: None, 0: "a", 9: "a", 10: "b", 19: "b", 20: None, 49: None, 50: "c", 900: "c"}
     facts = spark.createDataFrame([(1, day(n), n) for n in wanted] + [(2, day(0), 1000), (None, day(0), 1001)],
                                   "key int, at timestamp_ntz, id int")
-    found = attach_version(facts, versions, ["key"], "at", ["name"])
+    found = attach_version(facts, versions, ["key"], "at", ["name"], limit=limit)
     assert found.columns == ["key", "at", "id", "name"]
     assert {row.id: row.name for row in found.collect()} == {**wanted, 1000: None, 1001: None}
 
 
-def test_attach_version_keeps_every_fact(spark):
+@pytest.mark.parametrize("limit", [0, 150, 1000])
+def test_attach_version_keeps_every_fact(spark, limit):
     generator = random.Random(7)
     rows = [(generator.choice([1, 1, 2]), generator.randrange(0, 500), generator.choice("AB")) for _ in range(200)]
     versions = history(spark, rows)
     facts = table(spark, rows + rows[:50])
     facts = facts.withColumnRenamed("value", "own")
     columns = ["value", "valid_from", "valid_to"]
-    result = attach_version(facts, versions, ["key"], "at", columns).collect()
+    result = attach_version(facts, versions, ["key"], "at", columns, limit=limit).collect()
     assert len(result) == 250
     for row in result:
         assert row.valid_from <= row.at and (row.valid_to is None or row.at < row.valid_to)

@@ -1,8 +1,9 @@
 """Versioned (type 2) history of an attribute, and finding the version valid at a moment.
 
-Both look along the time line of a key. A single key may own a third of the table, so no window
-spans a whole key: windows run inside one key and time bucket, and what crosses the border between
-buckets travels through one summary row per key and bucket.
+Both look along the time line of a key with windows. Most keys have few moments and one window each.
+A key may also own a third of the table; such hot keys are found by counting, and their windows run
+inside one key and time bucket, while what crosses the border between buckets travels through one
+summary row per key and bucket.
 """
 
 from __future__ import annotations
@@ -13,92 +14,114 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tillcube.functions.filters import with_known
+from tillcube.sources.shared import materialize
 
 Bucket = Callable[[Column], Column]
 
+# Rows of one key that a single window may hold; a key with more of them is hot.
+WINDOW_LIMIT = 1_000_000
+
 
 def day(at: Column) -> Column:
     """Default time bucket: at a resolution of seconds no key has more than 86,400 moments in it."""
     return F.to_date(at)
 
 
-def on_time_line(df: DataFrame, key: Sequence[str], at: str, bucket: Bucket) -> DataFrame:
-    """Rows that have a key, a moment and a bucket.
+def split_hot(line: DataFrame, key: Sequence[str], limit: int) -> tuple[DataFrame, DataFrame | None]:
+    """Rows of ordinary keys, and rows of hot keys if there are any.
 
-    Joins on these columns would ask for that anyway, but on one side only; asked here, both sides
-    of a self join start from the same rows and share their shuffle.
+    There are at most (rows / limit) hot keys, and they are written, so their size is known when
+    the joins are planned.
     """
-    return with_known(df, [*key, at]).where(bucket(F.col(at)).isNotNull())
+    sizes = line.groupBy(*key).agg(F.count("*").alias("_rows"))
+    hot = materialize(sizes.where(F.col("_rows") > limit).select(*key), "hot_keys")
+    if hot.isEmpty():
+        return line, None
+    return line.join(hot, list(key), "left_anti"), line.join(hot, list(key), "left_semi")
 
 
-def one_value_per_moment(df: DataFrame, key: Sequence[str], tracked: str, at: str, bucket: Bucket) -> DataFrame:
+def one_value_per_moment(df: DataFrame, key: Sequence[str], tracked: str, at: str) -> DataFrame:
     """The tracked value per key and moment; of several at one moment the lowest stands."""
-    known = on_time_line(df, key, at, bucket)
+    known = with_known(df, [*key, at])
     return known.groupBy(*key, at).agg(F.min(tracked).alias(tracked))
 
 
-def version_history(
-    df: DataFrame, key: Sequence[str], tracked: str, at: str, bucket: Bucket = day
-) -> DataFrame:
-    """One row per run of equal tracked values, with a half-open validity interval.
+def _runs(moments: DataFrame, group: Sequence[str], tracked: str, at: str) -> DataFrame:
+    """First row of each run of equal values inside a group, with the start of the next run.
 
-    Columns: key, tracked, valid_from, valid_to (null while current), current_flag. Intervals of a
-    key touch without gaps or overlaps, and none is empty.
+    ``_first`` marks the run that opens the group.
     """
-    group = [*key, "_bucket"]
-    moments = one_value_per_moment(df, key, tracked, at, bucket).withColumn("_bucket", bucket(F.col(at)))
-
-    # Runs inside each bucket; the first one may continue the last run of the bucket before.
     line = Window.partitionBy(*group).orderBy(at)
-    runs = moments.withColumns({"_place": F.row_number().over(line), "_previous": F.lag(tracked).over(line)})
-    first = F.col("_place") == 1
-    runs = runs.where(first | ~F.col("_previous").eqNullSafe(F.col(tracked)))
-    runs = runs.withColumn("_next", F.lead(at).over(line))
+    first = F.row_number().over(line) == 1
+    runs = moments.withColumns({"_first": first, "_previous": F.lag(tracked).over(line)})
+    runs = runs.where(F.col("_first") | ~F.col("_previous").eqNullSafe(F.col(tracked)))
+    return runs.withColumn("valid_to", F.lead(at).over(line)).drop("_previous")
+
 
+def _joined_runs(moments: DataFrame, key: Sequence[str], tracked: str, at: str, bucket: Bucket) -> DataFrame:
+    """Runs of hot keys: found bucket by bucket, then joined where a bucket goes on with the value
+    that the bucket before ended with."""
+    group = [*key, "_bucket"]
+    in_bucket = bucket(F.col(at))
+    runs = _runs(moments.where(in_bucket.isNotNull()).withColumn("_bucket", in_bucket), group, tracked, at)
+    value = F.struct(F.col(tracked).alias("value"))
     buckets = runs.groupBy(*group).agg(
-        F.min_by(F.struct(F.col(tracked).alias("value")), at).alias("_first"),
-        F.max_by(F.struct(F.col(tracked).alias("value")), at).alias("_last"),
-        F.min(at).alias("_first_at"),
-        F.min(F.when(~first, F.col(at))).alias("_second_at"),
+        F.min_by(value, at).alias("_head"),
+        F.max_by(value, at).alias("_tail"),
+        F.min(at).alias("_head_at"),
+        F.min(F.when(~F.col("_first"), F.col(at))).alias("_second_at"),
     )
     backwards = Window.partitionBy(*key).orderBy(F.col("_bucket").desc())
-    continues = F.lead("_last").over(backwards).eqNullSafe(F.col("_first"))
-    buckets = buckets.withColumn("_continues", continues)
-    opened = F.when(F.col("_continues"), F.col("_second_at")).otherwise(F.col("_first_at"))
+    goes_on = F.lead("_tail").over(backwards).eqNullSafe(F.col("_head"))
+    buckets = buckets.withColumn("_goes_on", goes_on)
+    opened = F.when(F.col("_goes_on"), F.col("_second_at")).otherwise(F.col("_head_at"))
     later = backwards.rowsBetween(Window.unboundedPreceding, -1)
     borders = buckets.withColumn("_opened", opened).select(
-        *group, "_continues", F.last("_opened", ignorenulls=True).over(later).alias("_next_opened")
-    )
-
-    versions = runs.join(borders, group).where(~(first & F.col("_continues")))
-    valid_to = F.coalesce("_next", "_next_opened")
-    return versions.select(
-        *key,
-        tracked,
-        F.col(at).alias("valid_from"),
-        valid_to.alias("valid_to"),
-        valid_to.isNull().alias("current_flag"),
+        *group, "_goes_on", F.last("_opened", ignorenulls=True).over(later).alias("_next_opened")
     )
+    joined = runs.join(borders, group).where(~(F.col("_first") & F.col("_goes_on")))
+    return joined.withColumn("valid_to", F.coalesce("valid_to", "_next_opened"))
 
 
-def latest_known(df: DataFrame, key: Sequence[str], at: str, value: str, bucket: Bucket) -> DataFrame:
-    """Replace ``value`` by the key's latest non-null one at or before each row's moment.
+def version_history(
+    df: DataFrame,
+    key: Sequence[str],
+    tracked: str,
+    at: str,
+    bucket: Bucket = day,
+    limit: int = WINDOW_LIMIT,
+) -> DataFrame:
+    """One row per run of equal tracked values, with a half-open validity interval.
 
-    A key has at most one non-null value per moment.
+    Columns: key, tracked, valid_from, valid_to (null while current), current_flag. Intervals of a
+    key touch without gaps or overlaps, and none is empty.
     """
+    moments = materialize(one_value_per_moment(df, key, tracked, at), "moments")
+    ordinary, hot = split_hot(moments, key, limit)
+    columns = [*key, tracked, F.col(at).alias("valid_from"), "valid_to"]
+    versions = _runs(ordinary, key, tracked, at).select(*columns)
+    if hot is not None:
+        versions = versions.unionByName(_joined_runs(hot, key, tracked, at, bucket).select(*columns))
+    return versions.withColumn("current_flag", F.col("valid_to").isNull())
+
+
+def _latest(line: DataFrame, group: Sequence[str], at: str, value: str) -> DataFrame:
+    """Replace ``value`` by the latest non-null one of the group at or before each row's moment."""
+    so_far = Window.partitionBy(*group).orderBy(at).rangeBetween(Window.unboundedPreceding, Window.currentRow)
+    return line.withColumn(value, F.last(value, ignorenulls=True).over(so_far))
+
+
+def _latest_over_buckets(line: DataFrame, key: Sequence[str], at: str, value: str, bucket: Bucket) -> DataFrame:
+    """The same for hot keys: looked for in the row's bucket, then carried from an earlier one."""
     group = [*key, "_bucket"]
-    df = df.withColumn("_bucket", bucket(F.col(at)))
+    in_bucket = bucket(F.col(at))
+    line = line.where(in_bucket.isNotNull()).withColumn("_bucket", in_bucket)
     last = F.max_by(value, F.when(F.col(value).isNotNull(), F.col(at)))
-    buckets = df.groupBy(*group).agg(last.alias("_last"))
+    buckets = line.groupBy(*group).agg(last.alias("_last"))
     earlier = Window.partitionBy(*key).orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1)
     carried = buckets.select(*group, F.last("_last", ignorenulls=True).over(earlier).alias("_carried"))
-    line = Window.partitionBy(*group).orderBy(at).rangeBetween(Window.unboundedPreceding, Window.currentRow)
-    inside = df.withColumn("_inside", F.last(value, ignorenulls=True).over(line))
-    return (
-        inside.join(carried, group)
-        .withColumn(value, F.coalesce("_inside", "_carried"))
-        .drop("_bucket", "_inside", "_carried")
-    )
+    inside = _latest(line, group, at, value)
+    return inside.join(carried, group).withColumn(value, F.coalesce(value, "_carried")).drop("_bucket", "_carried")
 
 
 def attach_version(
@@ -108,6 +131,7 @@ def attach_version(
     at: str,
     columns: Sequence[str],
     bucket: Bucket = day,
+    limit: int = WINDOW_LIMIT,
 ) -> DataFrame:
     """Left-join to each fact the ``columns`` of the version valid at its moment.
 
@@ -116,17 +140,20 @@ def attach_version(
     sweeping both along the time line, so facts and versions of a key are never paired with each
     other, and the facts join on key and moment, which spreads a hot key over its moments.
     """
-    moments = on_time_line(facts, key, at, bucket).select(*key, F.col(at).alias("_moment")).distinct()
-    starts = on_time_line(versions, key, "valid_from", bucket).select(
+    moments = with_known(facts, [*key, at]).select(*key, F.col(at).alias("_moment")).distinct()
+    starts = with_known(versions, [*key, "valid_from"]).select(
         *key,
         F.col("valid_from").alias("_moment"),
         F.struct(F.col("valid_to").alias("_until"), *columns).alias("_version"),
     )
     line = moments.withColumn("_fact", F.lit(True)).unionByName(starts, allowMissingColumns=True)
-    line = latest_known(line, key, "_moment", "_version", bucket)
-    ends = F.col("_version._until")
-    valid = F.col("_fact") & F.col("_version").isNotNull() & (ends.isNull() | (F.col("_moment") < ends))
-    found = line.where(valid).select(
+    ordinary, hot = split_hot(materialize(line, "time_line"), key, limit)
+    found = _latest(ordinary, key, "_moment", "_version")
+    if hot is not None:
+        found = found.unionByName(_latest_over_buckets(hot, key, "_moment", "_version", bucket))
+    until = F.col("_version._until")
+    valid = F.col("_fact") & F.col("_version").isNotNull() & (until.isNull() | (F.col("_moment") < until))
+    found = found.where(valid).select(
         *[F.col(name).alias(f"_{name}") for name in key], "_moment", *[f"_version.{name}" for name in columns]
     )
     same = [F.col(name) == F.col(f"_{name}") for name in key]

@@ -29,7 +29,7 @@ from tillcube.plans import (
 )
 from tillcube.sources import files, sinks
 from tillcube.sources.sample_tables import load_table, retail_lines, retail_sources
-from tillcube.sources.shared import materialize, new_path
+from tillcube.sources.shared import new_path
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -681,7 +681,7 @@ def scd2_history(spark: SparkSession, folder: str) -> DataFrame:
 def scd2_interval_join(spark: SparkSession, folder: str) -> DataFrame:
     """Composite key: the user and the tracked value, so versions of a key leave gaps."""
     events = load_table(spark, folder, "events").select("event_id", "user_id", "event_type", "ts")
-    versions = materialize(history.version_history(events, ["user_id"], "event_type", "ts"), "versions")
+    versions = history.version_history(events, ["user_id"], "event_type", "ts")
     key = ["user_id", "event_type"]
     return history.attach_version(events, versions, key, "ts", ["valid_from", "current_flag"])
 
@@ -695,7 +695,7 @@ def scd2_history_ties(spark: SparkSession, folder: str) -> DataFrame:
 @registered
 def scd2_key_time_join(spark: SparkSession, folder: str) -> DataFrame:
     orders = load_table(spark, folder, "orders").select("o_orderkey", "o_custkey", "o_orderdate")
-    versions = materialize(scd2_history_ties(spark, folder), "versions")
+    versions = scd2_history_ties(spark, folder)
     columns = ["o_orderpriority", "valid_from"]
     return history.attach_version(orders, versions, ["o_custkey"], "o_orderdate", columns)
 
