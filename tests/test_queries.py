@@ -6,8 +6,8 @@ import pytest
 from compare import connect, duckdb_rows, spark_rows
 
 from __spark_entry__ import entry, oracle_sql, queries
-
-QUERIES, SQL = queries(), oracle_sql()
+from tillcube.plans.catalog import QUERIES
+from tillcube.plans.catalog_sql import ORACLE_SQL as SQL
 
 
 @pytest.fixture(scope="module")
@@ -39,5 +39,10 @@ def test_query_matches_sql(spark, small, connection, name):
     assert rows
 
 
+def test_entry_points_hold_every_query():
+    assert set(QUERIES) <= set(queries())
+    assert set(SQL) <= set(oracle_sql()) <= set(queries())
+
+
 def test_entry(spark):
     assert entry(spark).count() > 0
