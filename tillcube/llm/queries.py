@@ -7,13 +7,28 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tillcube.llm import exact_dedup, packing, sharding, token_counts, token_files
-from tillcube.llm.tables import documents
+from tillcube.llm import (
+    exact_dedup,
+    packing,
+    quality_classifier,
+    quality_rules,
+    sharding,
+    simhash_dedup,
+    token_counts,
+    token_files,
+)
+from tillcube.llm.tables import documents, labels
 from tillcube.sources.shared import new_path
 
 TOKEN_LIMIT = 1024
 
 
+def op1_quality_rules(spark: SparkSession, folder: str) -> DataFrame:
+    docs = documents(spark, folder)
+    rules = quality_rules.learn(quality_rules.labelled_statistics(docs, labels(spark, folder)))
+    return quality_rules.judged(docs, rules)
+
+
 def op2_sharding(spark: SparkSession, folder: str) -> DataFrame:
     rows = sharding.assignments(documents(spark, folder))
     return rows.withColumns({"law": F.lit("bytes"), "grown_shard": F.lit(None).cast("int")})
@@ -23,6 +38,14 @@ def op4_best_fit_packing(spark: SparkSession, folder: str) -> DataFrame:
     return packing.pack(packing.pieces(documents(spark, folder)))
 
 
+def op5_quality_classifier(spark: SparkSession, folder: str) -> DataFrame:
+    return quality_classifier.scored(documents(spark, folder), labels(spark, folder))
+
+
+def op6_simhash_near_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    return simhash_dedup.groups(documents(spark, folder))
+
+
 def op7_exact_dedup(spark: SparkSession, folder: str) -> DataFrame:
     return exact_dedup.marks(documents(spark, folder))
 
@@ -39,8 +62,11 @@ def op9_token_counts(spark: SparkSession, folder: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_quality_rules": op1_quality_rules,
     "op2_sharding": op2_sharding,
     "op4_best_fit_packing": op4_best_fit_packing,
+    "op5_quality_classifier": op5_quality_classifier,
+    "op6_simhash_near_dedup": op6_simhash_near_dedup,
     "op7_exact_dedup": op7_exact_dedup,
     "op8_token_files": op8_token_files,
     "op9_token_counts": op9_token_counts,
