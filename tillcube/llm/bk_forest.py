@@ -1,4 +1,4 @@
-"""BK-trees over 64-bit fingerprints, many trees at a time.
+"""BK-trees over fingerprints of one or more 64-bit words, many trees at a time.
 
 A child hangs on its parent by an edge that bears their Hamming distance; no two edges of a node bear the same.
 All fingerprints at distance d from a node lie below its edge d, so a search within a radius r that meets a node at
@@ -9,14 +9,15 @@ from __future__ import annotations
 
 import numpy as np
 
-# Distances of 64-bit numbers fit in 7 bits.
-EDGE_BITS = 7
+# Room for a distance in the key of an edge.
+EDGE_BITS = 12
 # Pairs of query and node looked at in one step.
 STEP_PAIRS = 4_000_000
 
 
 class Forest:
-    """One BK-tree per group of equal ``tree`` numbers; ``prints`` of a tree are distinct and lie side by side."""
+    """One BK-tree per group of equal ``tree`` numbers, whose ``prints`` lie side by side. ``prints`` are unsigned 64-bit
+    numbers, or rows of several."""
 
     def __init__(self, prints: np.ndarray, tree: np.ndarray):
         self.prints = prints
@@ -41,14 +42,15 @@ class Forest:
         self.edges, self.nodes = edges[order], nodes[order]
 
     def _distance(self, a: np.ndarray, b: np.ndarray) -> np.ndarray:
-        return np.bitwise_count(self.prints[a] ^ self.prints[b]).astype(np.int64)
+        different = np.bitwise_count(self.prints[a] ^ self.prints[b])
+        return (different if different.ndim == 1 else different.sum(1)).astype(np.int64)
 
     @staticmethod
     def _edge(node: np.ndarray, distance: np.ndarray) -> np.ndarray:
         return (node << EDGE_BITS) | distance
 
     def within(self, radius: int, queries: np.ndarray | None = None):
-        """Yield (query, node) arrays of different prints of one tree at most ``radius`` bits apart."""
+        """Yield (query, node) arrays of prints of one tree at most ``radius`` bits apart."""
         queries = np.arange(len(self.prints)) if queries is None else queries
         waiting = [(queries, self.root[queries])]
         while waiting:

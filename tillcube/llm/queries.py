@@ -9,7 +9,9 @@ from pyspark.sql import functions as F
 
 from tillcube.llm import (
     exact_dedup,
+    line_dedup,
     packing,
+    piece_viterbi,
     quality_classifier,
     quality_rules,
     sharding,
@@ -34,6 +36,11 @@ def op2_sharding(spark: SparkSession, folder: str) -> DataFrame:
     return rows.withColumns({"law": F.lit("bytes"), "grown_shard": F.lit(None).cast("int")})
 
 
+def op3_line_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    cut = line_dedup.deduplicate(documents(spark, folder))
+    return cut.select("doc_id", "text", "n_lines", F.size("removed").cast("long").alias("n_removed"), "removed")
+
+
 def op4_best_fit_packing(spark: SparkSession, folder: str) -> DataFrame:
     return packing.pack(packing.pieces(documents(spark, folder)))
 
@@ -61,13 +68,19 @@ def op9_token_counts(spark: SparkSession, folder: str) -> DataFrame:
     return counted.withColumn("over_limit", F.col("n_tokens") > TOKEN_LIMIT)
 
 
+def op10_sentencepiece(spark: SparkSession, folder: str) -> DataFrame:
+    return piece_viterbi.encode_and_check(documents(spark, folder))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_quality_rules": op1_quality_rules,
     "op2_sharding": op2_sharding,
+    "op3_line_dedup": op3_line_dedup,
     "op4_best_fit_packing": op4_best_fit_packing,
     "op5_quality_classifier": op5_quality_classifier,
     "op6_simhash_near_dedup": op6_simhash_near_dedup,
     "op7_exact_dedup": op7_exact_dedup,
     "op8_token_files": op8_token_files,
     "op9_token_counts": op9_token_counts,
+    "op10_sentencepiece": op10_sentencepiece,
 }
