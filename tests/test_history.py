@@ -7,8 +7,7 @@ import pytest
 from pyspark.sql import functions as F
 from retail import plain
 
-from tillcube.operators import history as time_lines
-from tillcube.operators.history import attach_version, version_history
+from tillcube.operators.history import _in_ranges, attach_version, version_history
 
 START = datetime(2011, 1, 30)
 
@@ -22,8 +21,16 @@ def table(spark, rows):
     return spark.createDataFrame(moments, "key int, at timestamp_ntz, value string")
 
 
-def history(spark, rows, bucket=time_lines.day, limit=time_lines.WINDOW_LIMIT):
-    return version_history(table(spark, rows), ["key"], "value", "at", bucket, limit)
+def history(spark, rows):
+    return version_history(table(spark, rows), ["key"], "value", "at")
+
+
+@pytest.fixture(params=[True, False], ids=["one range", "many ranges"])
+def ranges(spark, request):
+    """Small tables fill one range unless Spark is told not to join small ones."""
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", request.param)
+    yield
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", True)
 
 
 def one_by_one(rows):
@@ -45,10 +52,9 @@ def one_by_one(rows):
     return sorted(versions, key=lambda row: tuple((v is None, str(v)) for v in row))
 
 
-@pytest.mark.parametrize("limit", [0, 3, 100])
-def test_there_and_back(spark, limit):
+def test_there_and_back(spark, ranges):
     rows = [(1, 0, "A"), (1, 1, "A"), (1, 2, "B"), (1, 40, "B"), (1, 41, "A"), (2, 5, "C")]
-    assert plain(history(spark, rows, limit=limit)) == [
+    assert plain(history(spark, rows)) == [
         (1, "A", day(0), day(2), False),
         (1, "A", day(41), None, True),
         (1, "B", day(2), day(41), False),
@@ -64,27 +70,22 @@ def test_rows_without_key_are_left_out(spark):
     assert plain(history(spark, [(None, 0, "A"), (1, 0, "A")])) == [(1, "A", day(0), None, True)]
 
 
-@pytest.mark.parametrize("limit", [0, 100])
-def test_missing_value_is_a_value(spark, limit):
-    versions = plain(history(spark, [(1, 0, None), (1, 1, None), (1, 2, "A"), (1, 70, None)], limit=limit))
+def test_missing_value_is_a_value(spark, ranges):
+    versions = plain(history(spark, [(1, 0, None), (1, 1, None), (1, 2, "A"), (1, 70, None)]))
     assert [(row[1], row[2]) for row in versions] == [("A", day(2)), (None, day(0)), (None, day(70))]
 
 
-@pytest.mark.parametrize("bucket", [time_lines.day, lambda at: F.trunc(at, "month"), lambda at: F.trunc(at, "year")])
-@pytest.mark.parametrize("limit", [0, 100, 1000])
 @pytest.mark.parametrize("values", ["A", "ABC"])
-def test_against_plain_python(spark, bucket, values, limit):
-    """A limit of 0 makes every key hot, 100 only the first one."""
+def test_against_plain_python(spark, ranges, values):
     generator = random.Random(len(values))
     rows = [
         (generator.choice([1, 1, 1, 2, 3]), generator.randrange(0, 900), generator.choice(values))
         for _ in range(400)
     ]
-    assert plain(history(spark, rows, bucket, limit)) == one_by_one(rows)
+    assert plain(history(spark, rows)) == one_by_one(rows)
 
 
-@pytest.mark.parametrize("limit", [0, 100])
-def test_attach_version_edges(spark, limit):
+def test_attach_version_edges(spark, ranges):
     versions = spark.createDataFrame(
         [(1, day(0), day(10), "a"), (1, day(10), day(20), "b"), (1, day(50), None, "c")],
         "key int, valid_from timestamp_ntz, valid_to timestamp_ntz, name string",
@@ -92,20 +93,19 @@ def test_attach_version_edges(spark, limit):
     wanted = {-1: None, 0: "a", 9: "a", 10: "b", 19: "b", 20: None, 49: None, 50: "c", 900: "c"}
     facts = spark.createDataFrame([(1, day(n), n) for n in wanted] + [(2, day(0), 1000), (None, day(0), 1001)],
                                   "key int, at timestamp_ntz, id int")
-    found = attach_version(facts, versions, ["key"], "at", ["name"], limit=limit)
+    found = attach_version(facts, versions, ["key"], "at", ["name"])
     assert found.columns == ["key", "at", "id", "name"]
     assert {row.id: row.name for row in found.collect()} == {**wanted, 1000: None, 1001: None}
 
 
-@pytest.mark.parametrize("limit", [0, 150, 1000])
-def test_attach_version_keeps_every_fact(spark, limit):
+def test_attach_version_keeps_every_fact(spark, ranges):
     generator = random.Random(7)
     rows = [(generator.choice([1, 1, 2]), generator.randrange(0, 500), generator.choice("AB")) for _ in range(200)]
     versions = history(spark, rows)
     facts = table(spark, rows + rows[:50])
     facts = facts.withColumnRenamed("value", "own")
     columns = ["value", "valid_from", "valid_to"]
-    result = attach_version(facts, versions, ["key"], "at", columns, limit=limit).collect()
+    result = attach_version(facts, versions, ["key"], "at", columns).collect()
     assert len(result) == 250
     for row in result:
         assert row.valid_from <= row.at and (row.valid_to is None or row.at < row.valid_to)
@@ -120,3 +120,27 @@ def test_versions_of_a_composite_key_may_leave_gaps(spark):
         ("A", day(9), day(9)),
         ("B", day(5), day(5)),
     ]
+
+
+def test_one_key_and_one_day_are_spread_over_tasks(spark):
+    """All rows of one key, a microsecond apart: no task may get them all."""
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", False)
+    step = F.col("id").cast("int")
+    rows = spark.range(20_000).select(
+        F.lit(1).alias("key"),
+        F.timestamp_micros(F.lit(1_300_000_000_000_000) + F.col("id")).cast("timestamp_ntz").alias("at"),
+        F.when(step % 5_000 < 2_500, "A").otherwise("B").alias("value"),
+    )
+    sizes = _in_ranges(rows, ["key"], "at", "spread").groupBy("_range").count().collect()
+    versions = version_history(rows, ["key"], "value", "at")
+    assert versions.count() == 8
+    found = attach_version(rows.drop("value"), versions, ["key"], "at", ["value"])
+    assert found.exceptAll(rows.select(found.columns)).isEmpty()
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", True)
+    assert len(sizes) >= 4 and max(row["count"] for row in sizes) <= 10_000
+
+
+def test_columns_the_facts_have_are_refused(spark):
+    rows = [(1, 0, "A")]
+    with pytest.raises(ValueError, match="value"):
+        attach_version(table(spark, rows), history(spark, rows), ["key"], "at", ["value"])

@@ -27,10 +27,9 @@ def test_filters_and_columns_reach_the_scan(spark, small):
     assert not any("l_tax" in schema or "p_brand" in schema for schema in schemas)
 
 
-def test_history_of_ordinary_keys_is_one_shuffle(spark, small):
-    text = plan(QUERIES["scd2_history"](spark, small)).split("== Initial Plan ==")[0]
-    assert text.count("Exchange ") == 1
-    assert "events.parquet" not in text
+def test_preparation_report_moves_no_line(spark, small):
+    text = plan(QUERIES["preparation_report"](spark, small)).split("== Initial Plan ==")[0]
+    assert "hashpartitioning(invoice_no" not in text and text.count("SinglePartition") == 1
 
 
 def test_counters_scan_each_table_once(spark, small):

@@ -8,6 +8,7 @@ from compare import connect, duckdb_rows, spark_rows
 from __spark_entry__ import entry, oracle_sql, queries
 from tillcube.plans.catalog import QUERIES
 from tillcube.plans.catalog_sql import ORACLE_SQL as SQL
+from tillcube.sources.shared import materialize
 
 
 @pytest.fixture(scope="module")
@@ -28,11 +29,32 @@ def check_shape(plan):
         assert " ASC" not in first and " DESC" not in first or first.startswith("_partition#")
 
 
+def executed_plans(spark, action):
+    """What ``action`` returns, and the plan of every query that ran meanwhile, those behind writes too."""
+    store = spark._jsparkSession.sharedState().statusStore()
+    before = store.executionsCount()
+    result = action()
+    spark._jsc.sc().listenerBus().waitUntilEmpty()
+    found = store.executionsList(before, store.executionsCount() - before)
+    return result, [found.apply(at).physicalPlanDescription() for at in range(found.size())]
+
+
+def test_the_check_sees_what_is_written_on_the_way(spark):
+    def planted():
+        return materialize(spark.range(3).crossJoin(spark.range(2).toDF("other")), "planted")
+
+    _, plans = executed_plans(spark, planted)
+    with pytest.raises(AssertionError):
+        for plan in plans:
+            check_shape(plan)
+
+
 @pytest.mark.parametrize("name", sorted(QUERIES))
 def test_query_matches_sql(spark, small, connection, name):
-    df = QUERIES[name](spark, small)
-    check_shape(df._jdf.queryExecution().executedPlan().toString())
-    names, rows = spark_rows(df)
+    (names, rows), plans = executed_plans(spark, lambda: spark_rows(QUERIES[name](spark, small)))
+    assert plans
+    for plan in plans:
+        check_shape(plan)
     expected_names, expected = duckdb_rows(connection, SQL[name])
     assert names == expected_names
     assert rows == expected

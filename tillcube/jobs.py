@@ -21,7 +21,7 @@ from pyspark.sql import functions as F
 from tillcube.functions.calendar import with_calendar
 from tillcube.operators import align, compare, narrow, profile, reports
 from tillcube.operators.align import Source
-from tillcube.operators.cleaning import RULES, clean, quality_counters, removal_funnel, with_value
+from tillcube.operators.cleaning import RULES, clean, preparation_report, quality_counters, removal_funnel, with_value
 from tillcube.plans import etl, integration, methods, normalized, olap_pack, order_file, sales_pack, star, star_history
 from tillcube.session import build_session
 from tillcube.sources import files, sinks
@@ -128,6 +128,7 @@ def narrow_job(sources: Sequence[Source], options: argparse.Namespace) -> Result
         "types": profile.types_before_after(before, small),
         "memory_comparison": compare.difference_to(align.stack(sizes), "version", "before", "bytes"),
     }
+    totals = {}
     for name, table in chosen.items():
         countries = reports.totals_by(table, ["country"], ["total_price"])
         results[f"{name}_sales_by_country"] = reports.ranked(countries, "total_price", "country")
@@ -136,14 +137,23 @@ def narrow_job(sources: Sequence[Source], options: argparse.Namespace) -> Result
         results[f"{name}_top10_customers"] = reports.top(customers, 10, "total_price", "customer_id")
         one_country = reports.members(table, {"country": options.country})
         results[f"{name}_one_country_sample"] = sinks.first_rows(one_country, 1000)
-        results[f"{name}_high_value_sample"] = sinks.first_rows(table.where(F.col("total_price") > 1000), 1000)
+        high_value = table.where(F.col("total_price") > 1000)
+        results[f"{name}_high_value_sample"] = sinks.first_rows(high_value, 1000)
+        totals[name] = align.stack(
+            [
+                rows.agg(F.lit(operation).alias("operation"), F.count("*").alias("rows"))
+                for operation, rows in (("filter_country", one_country), ("filter_high_value", high_value))
+            ]
+        )
+    compared = compare.before_after(totals["before"], totals["after"], "operation", "rows")
+    results["filter_summary"] = compared.select("operation", "before_value", "after_value")
     return Result({"narrow_lines": after, **{f"dictionary_{c}": d for c, d in dictionaries.items()}}, results)
 
 
 def methods_job(sources: Sequence[Source], options: argparse.Namespace) -> Result:
     lines = integration.contract_lines(sources)
     normal = materialize(methods.bench_lines(lines), "bench_lines")
-    results = {"preparation_report": quality_counters(lines, RULES["bench"])}
+    results = {"preparation_report": preparation_report(lines, RULES["bench"])}
     for size, sales in (("normal", normal), ("large", sinks.replicate(normal, options.times))):
         results[f"{size}_groupby"] = methods.by_grouping(sales)
         results[f"{size}_pivot"] = methods.by_pivot(sales)

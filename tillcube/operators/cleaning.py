@@ -159,6 +159,15 @@ def quality_counters(lines: DataFrame, rules: Rules) -> DataFrame:
     return report.withColumn("rows_removed", F.col("rows_before") - F.col("rows_after"))
 
 
+def preparation_report(lines: DataFrame, rules: Rules) -> DataFrame:
+    """Lines before and after the rules, duplicates left alone: one scan, in which no line is moved."""
+    kept = first_violation(rules).isNull()
+    report = _before_rules(lines, rules).agg(
+        F.count("*").alias("rows_before"), F.count_if(kept).cast("bigint").alias("rows_after")
+    )
+    return report.withColumn("rows_removed", F.col("rows_before") - F.col("rows_after"))
+
+
 def removal_funnel(lines: DataFrame, rules: Rules) -> DataFrame:
     """Lines removed by each rule in turn, as (step, value) rows from one scan.
 

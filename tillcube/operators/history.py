@@ -1,48 +1,32 @@
 """Versioned (type 2) history of an attribute, and finding the version valid at a moment.
 
-Both look along the time line of a key with windows. Most keys have few moments and one window each.
-A key may also own a third of the table; such hot keys are found by counting, and their windows run
-inside one key and time bucket, while what crosses the border between buckets travels through one
-summary row per key and bucket.
+Both look along the time line of a key with windows. Rows are dealt out by range of key and moment and
+written with the number of their range; windows run inside one key and range, while what crosses the
+border between ranges travels through one summary row per key and range. So a key may own any share
+of the table and any number of rows in any span of time: it is spread over as many ranges as it fills.
 """
 
 from __future__ import annotations
 
-from collections.abc import Callable, Sequence
+from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tillcube.functions.filters import with_known
 from tillcube.sources.shared import materialize
 
-Bucket = Callable[[Column], Column]
 
-# Rows of one key that a single window may hold; a key with more of them is hot.
-WINDOW_LIMIT = 1_000_000
-
-
-def day(at: Column) -> Column:
-    """Default time bucket: at a resolution of seconds no key has more than 86,400 moments in it."""
-    return F.to_date(at)
-
-
-def split_hot(line: DataFrame, key: Sequence[str], limit: int) -> tuple[DataFrame, DataFrame | None]:
-    """Rows of ordinary keys, and rows of hot keys if there are any.
-
-    There are at most (rows / limit) hot keys, and they are written, so their size is known when
-    the joins are planned.
-    """
-    sizes = line.groupBy(*key).agg(F.count("*").alias("_rows"))
-    hot = materialize(sizes.where(F.col("_rows") > limit).select(*key), "hot_keys")
-    if hot.isEmpty():
-        return line, None
-    return line.join(hot, list(key), "left_anti"), line.join(hot, list(key), "left_semi")
+def _in_ranges(line: DataFrame, key: Sequence[str], at: str, label: str) -> DataFrame:
+    """Rows with ``_range``, which ascends with key and moment; rows of one moment share it."""
+    dealt = line.repartitionByRange(*key, at)
+    return materialize(dealt.withColumn("_range", F.spark_partition_id()), label)
 
 
 def one_value_per_moment(df: DataFrame, key: Sequence[str], tracked: str, at: str) -> DataFrame:
     """The tracked value per key and moment; of several at one moment the lowest stands."""
-    known = with_known(df, [*key, at])
+    # Copies of a value go first, which needs no sorting; of what is left there is little to compare.
+    known = with_known(df, [*key, at]).select(*key, at, tracked).distinct()
     return known.groupBy(*key, at).agg(F.min(tracked).alias(tracked))
 
 
@@ -58,88 +42,70 @@ def _runs(moments: DataFrame, group: Sequence[str], tracked: str, at: str) -> Da
     return runs.withColumn("valid_to", F.lead(at).over(line)).drop("_previous")
 
 
-def _joined_runs(moments: DataFrame, key: Sequence[str], tracked: str, at: str, bucket: Bucket) -> DataFrame:
-    """Runs of hot keys: found bucket by bucket, then joined where a bucket goes on with the value
-    that the bucket before ended with."""
-    group = [*key, "_bucket"]
-    in_bucket = bucket(F.col(at))
-    runs = _runs(moments.where(in_bucket.isNotNull()).withColumn("_bucket", in_bucket), group, tracked, at)
+def _joined_runs(moments: DataFrame, key: Sequence[str], tracked: str, at: str) -> DataFrame:
+    """Runs found range by range, then joined where a range goes on with the value that the range
+    before ended with."""
+    group = [*key, "_range"]
+    runs = _runs(moments, group, tracked, at)
     value = F.struct(F.col(tracked).alias("value"))
-    buckets = runs.groupBy(*group).agg(
+    ranges = runs.groupBy(*group).agg(
         F.min_by(value, at).alias("_head"),
         F.max_by(value, at).alias("_tail"),
         F.min(at).alias("_head_at"),
         F.min(F.when(~F.col("_first"), F.col(at))).alias("_second_at"),
     )
-    backwards = Window.partitionBy(*key).orderBy(F.col("_bucket").desc())
+    backwards = Window.partitionBy(*key).orderBy(F.col("_range").desc())
     goes_on = F.lead("_tail").over(backwards).eqNullSafe(F.col("_head"))
-    buckets = buckets.withColumn("_goes_on", goes_on)
+    ranges = ranges.withColumn("_goes_on", goes_on)
     opened = F.when(F.col("_goes_on"), F.col("_second_at")).otherwise(F.col("_head_at"))
     later = backwards.rowsBetween(Window.unboundedPreceding, -1)
-    borders = buckets.withColumn("_opened", opened).select(
+    borders = ranges.withColumn("_opened", opened).select(
         *group, "_goes_on", F.last("_opened", ignorenulls=True).over(later).alias("_next_opened")
     )
     joined = runs.join(borders, group).where(~(F.col("_first") & F.col("_goes_on")))
     return joined.withColumn("valid_to", F.coalesce("valid_to", "_next_opened"))
 
 
-def version_history(
-    df: DataFrame,
-    key: Sequence[str],
-    tracked: str,
-    at: str,
-    bucket: Bucket = day,
-    limit: int = WINDOW_LIMIT,
-) -> DataFrame:
+def version_history(df: DataFrame, key: Sequence[str], tracked: str, at: str) -> DataFrame:
     """One row per run of equal tracked values, with a half-open validity interval.
 
     Columns: key, tracked, valid_from, valid_to (null while current), current_flag. Intervals of a
     key touch without gaps or overlaps, and none is empty.
     """
-    moments = materialize(one_value_per_moment(df, key, tracked, at), "moments")
-    ordinary, hot = split_hot(moments, key, limit)
-    columns = [*key, tracked, F.col(at).alias("valid_from"), "valid_to"]
-    versions = _runs(ordinary, key, tracked, at).select(*columns)
-    if hot is not None:
-        versions = versions.unionByName(_joined_runs(hot, key, tracked, at, bucket).select(*columns))
+    moments = _in_ranges(one_value_per_moment(df, key, tracked, at), key, at, "moments")
+    versions = _joined_runs(moments, key, tracked, at).select(
+        *key, tracked, F.col(at).alias("valid_from"), "valid_to"
+    )
     return versions.withColumn("current_flag", F.col("valid_to").isNull())
 
 
-def _latest(line: DataFrame, group: Sequence[str], at: str, value: str) -> DataFrame:
-    """Replace ``value`` by the latest non-null one of the group at or before each row's moment."""
-    so_far = Window.partitionBy(*group).orderBy(at).rangeBetween(Window.unboundedPreceding, Window.currentRow)
-    return line.withColumn(value, F.last(value, ignorenulls=True).over(so_far))
-
-
-def _latest_over_buckets(line: DataFrame, key: Sequence[str], at: str, value: str, bucket: Bucket) -> DataFrame:
-    """The same for hot keys: looked for in the row's bucket, then carried from an earlier one."""
-    group = [*key, "_bucket"]
-    in_bucket = bucket(F.col(at))
-    line = line.where(in_bucket.isNotNull()).withColumn("_bucket", in_bucket)
+def _latest(line: DataFrame, key: Sequence[str], at: str, value: str) -> DataFrame:
+    """Replace ``value`` by the key's latest non-null one at or before each row's moment: looked for in
+    the row's range, then carried from an earlier one."""
+    group = [*key, "_range"]
     last = F.max_by(value, F.when(F.col(value).isNotNull(), F.col(at)))
-    buckets = line.groupBy(*group).agg(last.alias("_last"))
-    earlier = Window.partitionBy(*key).orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1)
-    carried = buckets.select(*group, F.last("_last", ignorenulls=True).over(earlier).alias("_carried"))
-    inside = _latest(line, group, at, value)
-    return inside.join(carried, group).withColumn(value, F.coalesce(value, "_carried")).drop("_bucket", "_carried")
+    ranges = line.groupBy(*group).agg(last.alias("_last"))
+    earlier = Window.partitionBy(*key).orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)
+    carried = ranges.select(*group, F.last("_last", ignorenulls=True).over(earlier).alias("_carried"))
+    so_far = Window.partitionBy(*group).orderBy(at).rangeBetween(Window.unboundedPreceding, Window.currentRow)
+    inside = line.withColumn(value, F.last(value, ignorenulls=True).over(so_far))
+    return inside.join(carried, group).withColumn(value, F.coalesce(value, "_carried")).drop("_range", "_carried")
 
 
 def attach_version(
-    facts: DataFrame,
-    versions: DataFrame,
-    key: Sequence[str],
-    at: str,
-    columns: Sequence[str],
-    bucket: Bucket = day,
-    limit: int = WINDOW_LIMIT,
+    facts: DataFrame, versions: DataFrame, key: Sequence[str], at: str, columns: Sequence[str]
 ) -> DataFrame:
     """Left-join to each fact the ``columns`` of the version valid at its moment.
 
     A version is valid from ``valid_from`` on and before ``valid_to`` (null: still valid); versions
-    of one key must not overlap. The version is looked up once per distinct key and moment by
-    sweeping both along the time line, so facts and versions of a key are never paired with each
-    other, and the facts join on key and moment, which spreads a hot key over its moments.
+    of one key must not overlap, and the facts must not have the columns yet. The version is looked up
+    once per distinct key and moment by sweeping both along the time line, so facts and versions of a
+    key are never paired with each other, and the facts join on key and moment, which spreads a hot key
+    over its moments.
     """
+    clash = set(columns) & set(facts.columns)
+    if clash:
+        raise ValueError(f"the facts already have columns {sorted(clash)}")
     moments = with_known(facts, [*key, at]).select(*key, F.col(at).alias("_moment")).distinct()
     starts = with_known(versions, [*key, "valid_from"]).select(
         *key,
@@ -147,10 +113,7 @@ def attach_version(
         F.struct(F.col("valid_to").alias("_until"), *columns).alias("_version"),
     )
     line = moments.withColumn("_fact", F.lit(True)).unionByName(starts, allowMissingColumns=True)
-    ordinary, hot = split_hot(materialize(line, "time_line"), key, limit)
-    found = _latest(ordinary, key, "_moment", "_version")
-    if hot is not None:
-        found = found.unionByName(_latest_over_buckets(hot, key, "_moment", "_version", bucket))
+    found = _latest(_in_ranges(line, key, "_moment", "time_line"), key, "_moment", "_version")
     until = F.col("_version._until")
     valid = F.col("_fact") & F.col("_version").isNotNull() & (until.isNull() | (F.col("_moment") < until))
     found = found.where(valid).select(

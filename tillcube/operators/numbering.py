@@ -39,8 +39,6 @@ def number_rows(
     staged = materialize(df.select(*columns, F.monotonically_increasing_id().alias("_at")), name)
     partition = F.shiftright("_at", POSITION_BITS)
     position = F.col("_at") - F.shiftleft(partition, POSITION_BITS)
-    if len(staged.inputFiles()) < 2:
-        return staged.select((position + 1).alias(name), *columns)
     sizes = staged.groupBy(partition.alias("_partition")).agg(F.count("*").alias("_rows"))
     earlier = Window.orderBy("_partition").rowsBetween(Window.unboundedPreceding, -1)
     offsets = sizes.select("_partition", F.coalesce(F.sum("_rows").over(earlier), F.lit(0)).alias("_offset"))

@@ -39,9 +39,12 @@ def members(df: DataFrame, conditions: Mapping[str, object]) -> DataFrame:
 
 
 def with_subtotals(df: DataFrame, keys: Sequence[str], measures: Sequence[str], cube: bool = False) -> DataFrame:
-    """All levels of a roll-up (or cube) in one pass; ``level`` tells them apart (0 is the finest)."""
-    known = with_known(df, keys)
-    grouped = known.cube(*keys) if cube else known.rollup(*keys)
+    """All levels of a roll-up (or cube) in one pass; ``level`` tells them apart (0 is the finest).
+
+    Only the sums of the finest level are expanded, not the rows.
+    """
+    finest = totals_by(df, keys, measures)
+    grouped = finest.cube(*keys) if cube else finest.rollup(*keys)
     return grouped.agg(
         F.grouping_id().alias("level"), *[total(F.col(name)).alias(name) for name in measures]
     )

@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 
 from tillcube.contract import COLUMNS, UNKNOWN_PRODUCT
 from tillcube.functions import calendar, measures
+from tillcube.functions.filters import with_known
 from tillcube.operators import align, cleaning, compare, dedup, history, narrow, numbering, profile, reports, segments
 from tillcube.operators.cleaning import RULES
 from tillcube.plans import (
@@ -36,7 +37,6 @@ Query = Callable[[SparkSession, str], DataFrame]
 # Parameters that the queries and the SQL they are checked against share.
 SLICE_COUNTRY = "NATION_3"
 DICE_YEAR = 1997
-YEARS = tuple(range(1995, 2002))
 HIGH_VALUE = 25_000
 SPLIT_DATE = "1998-01-01"
 LARGE_ORDER = 250_000
@@ -79,6 +79,16 @@ def _raw_text(lines: DataFrame) -> DataFrame:
     return lines.toDF(*names)
 
 
+# The key of each table of the star.
+WAREHOUSE_KEYS = {
+    "dim_country": "country_key",
+    "dim_customer": "customer_key",
+    "dim_product": "product_key",
+    "dim_date": "date_key",
+    "fact_sales": "sales_fact_id",
+}
+
+
 @registered
 def csv_scan_latin1(spark: SparkSession, folder: str) -> DataFrame:
     path = f"{new_path(spark, 'retail')}/lines.csv"
@@ -98,10 +108,15 @@ def csv_sink_roundtrip(spark: SparkSession, folder: str) -> DataFrame:
 
 @registered
 def multi_part_source(spark: SparkSession, folder: str) -> DataFrame:
-    path = new_path(spark, "workbook")
-    for source in retail_sources(spark, folder)[1:]:
-        sinks.write_csv(align.trim_headers(source.lines), f"{path}/{source.sheet}", files.RETAIL_ENCODING)
-    lines = align.typed(align.align(files.read_parts(spark, path), keep=["source_sheet"]))
+    first, *others = retail_sources(spark, folder)
+    stored = []
+    # The parts of one folder share a header; the first source has another.
+    for name, parts in (("online", [first]), ("workbook", others)):
+        path = new_path(spark, name)
+        for source in parts:
+            sinks.write_csv(align.trim_headers(source.lines), f"{path}/{source.sheet}", files.RETAIL_ENCODING)
+        stored.append(align.typed(align.align(files.read_parts(spark, path), keep=["source_sheet"])))
+    lines = align.stack(stored)
     return lines.groupBy("source_sheet").agg(
         F.count("*").alias("rows_count"),
         F.sum("quantity").alias("quantity"),
@@ -133,8 +148,14 @@ def warehouse_sink_counts(spark: SparkSession, folder: str) -> DataFrame:
     tables["fact_sales"] = tables["fact_sales"].join(days, "date_key", "left")
     sinks.write_warehouse(tables, path, {"fact_sales": ["year", "month"]})
     stored = sinks.read_warehouse(spark, path, list(tables))
+    # Of every table its rows and the sum of its keys, of the fact its amounts too.
     counts = [
-        table.agg(F.lit(name).alias("table_name"), F.count("*").alias("rows_count"))
+        table.agg(
+            F.lit(name).alias("table_name"),
+            F.count("*").alias("rows_count"),
+            F.sum(WAREHOUSE_KEYS[name]).alias("key_sum"),
+            F.sum("sales_amount" if name == "fact_sales" else F.lit(0)).cast("double").alias("amount"),
+        )
         for name, table in stored.items()
     ]
     return align.stack(counts)
@@ -153,9 +174,10 @@ def preview_rows(spark: SparkSession, folder: str) -> DataFrame:
 @registered
 def replicate_rows(spark: SparkSession, folder: str) -> DataFrame:
     sales = sinks.replicate(methods.bench_lines(retail_lines(spark, folder)), REPLICAS)
-    totals = reports.totals_by(sales, ["country"], olap_pack.MEASURES)
-    invoices = reports.distinct_by(sales, "country", "invoice_no", "invoices")
-    return totals.join(invoices, "country").join(reports.rows_by(sales, ["country"], "rows_count"), "country")
+    sums = [measures.total(F.col(name)).alias(name) for name in olap_pack.MEASURES]
+    return with_known(sales, ["country"]).groupBy("country").agg(
+        *sums, F.count_distinct("invoice_no").alias("invoices"), F.count("*").alias("rows_count")
+    )
 
 
 # ---- schema and profile ------------------------------------------------------------------------
@@ -295,8 +317,7 @@ def quality_report_sources(spark: SparkSession, folder: str) -> DataFrame:
 
 @registered
 def preparation_report(spark: SparkSession, folder: str) -> DataFrame:
-    report = cleaning.quality_counters(retail_lines(spark, folder), RULES["bench"])
-    return report.select("rows_before", "rows_after", "rows_removed")
+    return cleaning.preparation_report(retail_lines(spark, folder), RULES["bench"])
 
 
 @registered
@@ -438,7 +459,7 @@ def dice_monthly(spark: SparkSession, folder: str) -> DataFrame:
 
 @registered
 def pivot_country_year(spark: SparkSession, folder: str) -> DataFrame:
-    return olap_pack.country_by_year(_olap(spark, folder), YEARS)
+    return olap_pack.country_by_year(_olap(spark, folder))
 
 
 @registered
@@ -493,7 +514,7 @@ def heatmap_data(spark: SparkSession, folder: str) -> DataFrame:
 def olap_report_totals(spark: SparkSession, folder: str) -> DataFrame:
     """Grand total of each report of the pack."""
     lines = retail_lines(spark, folder)
-    pack = olap_pack.build_reports(lines, SLICE_COUNTRY, DICE_YEAR, YEARS)
+    pack = olap_pack.build_reports(lines, SLICE_COUNTRY, DICE_YEAR)
     totals = []
     for name in ("rollup_year", "drilldown_year_month", "month_ranking", "slice_monthly", "dice_monthly"):
         totals.append(pack[name].agg(F.lit(name).alias("report"), F.sum("total_price").alias("total")))
@@ -616,8 +637,16 @@ def encoding_equivalence(spark: SparkSession, folder: str) -> DataFrame:
     for key in ("country", "month", "customer_id"):
         left, right = (reports.totals_by(table, [key], ["total_price"]) for table in (plain, decoded))
         right = right.select(*[F.col(name).cast(spark_type).alias(name) for name, spark_type in left.dtypes])
-        unequal = compare.unequal_rows(left, right).agg(F.count("*").alias("unequal_rows"))
-        results.append(unequal.select(F.lit(f"sales_by_{key}").alias("report"), "unequal_rows"))
+        results.append(
+            compare.unequal_rows(left, right).agg(
+                F.lit(f"sales_by_{key}").alias("report"), F.count("*").alias("unequal_rows")
+            ).withColumns(
+                {
+                    name: table.agg(F.sum("total_price")).scalar().cast("double")
+                    for name, table in (("plain_total", left), ("decoded_total", right))
+                }
+            )
+        )
     return align.stack(results)
 
 
@@ -705,35 +734,33 @@ def scd2_key_time_join(spark: SparkSession, folder: str) -> DataFrame:
 
 @registered
 def nf3_country(spark: SparkSession, folder: str) -> DataFrame:
-    return normalized.build_entities(retail_lines(spark, folder))[1]["country"]
+    return normalized.build_entities(retail_lines(spark, folder), ["country"])[1]["country"]
 
 
 @registered
 def nf3_customer(spark: SparkSession, folder: str) -> DataFrame:
-    customers = normalized.build_entities(retail_lines(spark, folder))[1]["customer"]
+    customers = normalized.build_entities(retail_lines(spark, folder), ["country", "customer"])[1]["customer"]
     return as_text(customers, "customer_id_source")
 
 
 @registered
 def nf3_product(spark: SparkSession, folder: str) -> DataFrame:
-    return normalized.build_entities(retail_lines(spark, folder))[1]["product"]
+    return normalized.build_entities(retail_lines(spark, folder), ["product"])[1]["product"]
 
 
 @registered
 def nf3_invoice(spark: SparkSession, folder: str) -> DataFrame:
-    return normalized.invoices(*normalized.build_entities(retail_lines(spark, folder)))
+    return normalized.invoices(*normalized.build_entities(retail_lines(spark, folder), ["country", "customer"]))
 
 
 @registered
 def nf3_invoice_line(spark: SparkSession, folder: str) -> DataFrame:
-    """The row id follows the order of reading, which SQL cannot repeat; see fact_row_ids."""
-    lines = normalized.invoice_lines(*normalized.build_entities(retail_lines(spark, folder)))
-    return lines.drop("invoice_line_id")
+    return normalized.invoice_lines(*normalized.build_entities(retail_lines(spark, folder), ["product"]))
 
 
 @registered
 def kimball_fact(spark: SparkSession, folder: str) -> DataFrame:
-    return star.build_star(retail_lines(spark, folder))["fact_sales"].drop("sales_fact_id")
+    return star.build_star(retail_lines(spark, folder))["fact_sales"]
 
 
 @registered
@@ -753,13 +780,14 @@ def _star_history(spark: SparkSession, folder: str) -> dict[str, DataFrame]:
 
 @registered
 def star_fact(spark: SparkSession, folder: str) -> DataFrame:
-    return _star_history(spark, folder)["fact_sales"].drop("sales_key")
+    return _star_history(spark, folder)["fact_sales"]
 
 
 @registered
 def star_customer_versions(spark: SparkSession, folder: str) -> DataFrame:
     """Versions by country, the attribute that retail customers change."""
-    return star_history.build_star_history(retail_lines(spark, folder))["dim_customer"]
+    lines = cleaning.clean(retail_lines(spark, folder), RULES["star"])
+    return star_history.customer_versions(lines, dimensions.country_dimension(lines), "country")
 
 
 @registered
@@ -806,9 +834,9 @@ def cross_source_duplicates(spark: SparkSession, folder: str) -> DataFrame:
 
 @registered
 def integrate_sources(spark: SparkSession, folder: str) -> DataFrame:
-    return integration.integrate(retail_sources(spark, folder))["fact_sales"].drop("fact_sales_id")
+    return integration.integrate(retail_sources(spark, folder))["fact_sales"]
 
 
 @registered
 def integrated_rows_per_source(spark: SparkSession, folder: str) -> DataFrame:
-    return integration.integrate(retail_sources(spark, folder))["source_rows_count"]
+    return align.rows_per_source(integration.integrated_lines(retail_sources(spark, folder)))

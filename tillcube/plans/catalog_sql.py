@@ -325,7 +325,15 @@ def _cross_tab(table: str, column: str, members) -> str:
     return f"select country, {cells} from {table} group by country"
 
 
-MONTHS, YEARS = range(1, 13), range(1995, 2002)
+def _numbered(name: str, columns: str, rows: str, money: str) -> str:
+    """Rows numbered in the order of all their columns; the columns of ``money`` as doubles."""
+    order = ", ".join(f"{column} asc nulls last" for column in columns.split(","))
+    doubles = ", ".join(f"cast({column} as double) as {column}" for column in money.split(", "))
+    return f"""select row_number() over (order by {order}) as {name}, * replace ({doubles})
+      from (select {columns} from ({rows}))"""
+
+
+MONTHS = range(1, 13)
 SUMS = "cast(sum(total_price) as double) as total_price, cast(sum(quantity) as bigint) as quantity"
 CONTROL = """cast(sum(quantity * unit_price) as double) as revenue, cast(sum(quantity) as bigint) as quantity,
   count(*) as transaction_lines"""
@@ -406,15 +414,16 @@ BODIES: dict[str, str] = {
     "csv_sink_roundtrip": f"select country, {CONTROL} from clean_basic group by country",
     "multi_part_source": """select source_sheet, count(*) as rows_count, cast(sum(quantity) as bigint) as quantity,
       cast(sum(unit_price) as double) as unit_price, count(customer_id) as known_customers
-      from stacked where source_rank > 1 group by source_sheet""",
+      from stacked group by source_sheet""",
     "reader_by_suffix": """select source_file, count(*) as rows_count,
       cast(sum(quantity * unit_price) as double) as net_value, count(customer_id) as known_customers
       from lines, (values ('store.csv'), ('store.parquet')) as f(source_file) group by source_file""",
-    "warehouse_sink_counts": """select 'dim_country' as table_name, count(*) as rows_count from countries
-      union all select 'dim_customer', count(*) from customers
-      union all select 'dim_product', count(*) from products
-      union all select 'dim_date', count(*) from dates
-      union all select 'fact_sales', count(*) from lines""",
+    "warehouse_sink_counts": """select table_name, rows_count, cast(rows_count * (rows_count + 1) / 2 as bigint) as key_sum, amount
+      from (select 'dim_country' as table_name, count(*) as rows_count, cast(0 as double) as amount from countries
+      union all select 'dim_customer', count(*), 0 from customers
+      union all select 'dim_product', count(*), 0 from products
+      union all select 'dim_date', count(*), 0 from dates
+      union all select 'fact_sales', count(*), cast(sum(quantity * unit_price) as double) from lines)""",
     "sample_rows": f"""select invoice_no, stock_code, description, quantity, invoice_date,
       cast(unit_price as double) as unit_price, cast(customer_id as varchar) as customer_id, country
       from (select * from lines order by {", ".join(c + " asc nulls last" for c in LINE_COLUMNS.split(", "))}
@@ -531,7 +540,8 @@ BODIES: dict[str, str] = {
       cast(sum(total_price) as double) as total_price from olap group by cube (country, "month")""",
     "slice_monthly": f"""select "year", "month", {SUMS} from olap where country = 'NATION_3' group by "year", "month" """,
     "dice_monthly": f"""select "month", {SUMS} from olap where country = 'NATION_3' and "year" = 1997 group by "month" """,
-    "pivot_country_year": _cross_tab("olap", "year", YEARS),
+    "pivot_country_year": """select country, coalesce(columns(* exclude country), 0)
+      from (pivot olap on "year" using cast(sum(total_price) as double) group by country)""",
     "pivot_country_month": _cross_tab("analysis", "month", MONTHS),
     "cube_country_month": _cross_tab("olap", "month", MONTHS),
     "best_year_by_country": """select country, "year", cast(total_price as double) as total_price, quantity from (
@@ -588,8 +598,14 @@ BODIES: dict[str, str] = {
     "before_after_comparison": "select * from comparison",
     "filter_summary": """select operation, before_value, after_value from comparison
       where starts_with(operation, 'filter_')""",
-    "encoding_equivalence": """select report, cast(0 as bigint) as unequal_rows
-      from (values ('sales_by_country'), ('sales_by_month'), ('sales_by_customer_id')) as r(report)""",
+    "encoding_equivalence": """select report, cast(0 as bigint) as unequal_rows, total as plain_total,
+      total as decoded_total from (
+        select 'sales_by_country' as report, cast(sum(quantity * unit_price) as double) as total from lines
+          where country is not null
+        union all select 'sales_by_month', cast(sum(quantity * unit_price) as double) from lines
+          where invoice_date is not null
+        union all select 'sales_by_customer_id', cast(sum(quantity * unit_price) as double) from lines
+          where customer_id is not null)""",
     "dim_country": "select country_key, country_name from star_countries",
     "dim_product": "select product_key, stock_code, product_name from star_products",
     "dim_date": """select date_key, strftime(d, '%Y-%m-%d') as date, cast(year(d) as integer) as "year",
@@ -628,17 +644,20 @@ BODIES: dict[str, str] = {
                        order by invoice_date, customer_business_key, country) as place
               from keyed_lines) where place = 1) h
         join customers c on h.customer_business_key = c.customer_business_key and h.country_key = c.country_key""",
-    "nf3_invoice_line": """select invoice_no, product_key, quantity, cast(unit_price as double) as unit_price,
-      quantity < 0 as is_return from lines l join products p on l.stock_code = p.stock_code""",
-    "kimball_fact": """select invoice_no, customer_key, product_key, country_key, date_key, quantity,
-      cast(unit_price as double) as unit_price, cast(sales_amount as double) as sales_amount,
-      cast(gross_sales_amount as double) as gross_sales_amount, cast(return_amount as double) as return_amount,
-      is_return, is_cancelled from kimball""",
+    "nf3_invoice_line": _numbered(
+        "invoice_line_id", "invoice_no, product_key, quantity, unit_price, is_return",
+        """select invoice_no, product_key, quantity, unit_price, quantity < 0 as is_return
+      from lines l join products p on l.stock_code = p.stock_code""", "unit_price"),
+    "kimball_fact": _numbered(
+        "sales_fact_id", """invoice_no, customer_key, product_key, country_key, date_key, quantity, unit_price,
+      sales_amount, gross_sales_amount, return_amount, is_return, is_cancelled""", "select * from kimball",
+        "unit_price, sales_amount, gross_sales_amount, return_amount"),
     "net_gross_returns_by_country": f"select country_name, {SIGNED} from kimball group by country_name",
     "net_gross_returns_monthly": f"""select cast(year(d) as integer) as "year", cast(month(d) as integer) as "month",
       {SIGNED}, strftime(d, '%Y-%m') as period from kimball group by 1, 2, strftime(d, '%Y-%m')""",
-    "star_fact": """select invoice_key, customer_key, product_key, date_key, country_key, quantity,
-      cast(unit_price as double) as unit_price, cast(revenue as double) as revenue, line_count from star_facts""",
+    "star_fact": _numbered(
+        "sales_key", """invoice_key, customer_key, product_key, date_key, country_key, quantity, unit_price, revenue,
+      line_count""", "select * from star_facts", "unit_price, revenue"),
     "star_customer_versions": """select row_number() over (order by customer_id) as customer_key, customer_id,
       country_key, country as country_name, valid_from, cast(null as timestamp) as valid_to, true as current_flag
       from (select customer_id, country, min(invoice_date) as valid_from from clean_star group by customer_id, country)
@@ -656,11 +675,13 @@ BODIES: dict[str, str] = {
     "etl_control_by_country": f"select country, {CONTROL} from clean_basic group by country",
     "duplicate_members": f"{DUPLICATES} where members > 1",
     "cross_source_duplicates": f"{DUPLICATES} where low <> high",
-    "integrate_sources": """select invoice_no, stock_code, customer_id, invoice_date,
-      cast(year(invoice_date) as integer) as "year", cast(month(invoice_date) as integer) as "month",
-      cast(day(invoice_date) as integer) as "day", quantity, cast(unit_price as double) as unit_price,
-      cast(quantity * unit_price as double) as revenue, 1 as line_count, country, source_system, source_sheet,
-      source_name from integrated""",
+    "integrate_sources": _numbered(
+        "fact_sales_id", """invoice_no, stock_code, customer_id, invoice_date, "year", "month", "day", quantity,
+      unit_price, revenue, line_count, country, source_system, source_sheet, source_name""",
+        """select invoice_no, stock_code, customer_id, invoice_date, cast(year(invoice_date) as integer) as "year",
+      cast(month(invoice_date) as integer) as "month", cast(day(invoice_date) as integer) as "day", quantity,
+      unit_price, quantity * unit_price as revenue, 1 as line_count, country, source_system, source_sheet,
+      source_name from integrated""", "unit_price, revenue"),
     "integrated_rows_per_source": """select source_system, source_sheet, count(*) as rows_count
       from integrated group by source_system, source_sheet""",
 }

@@ -11,7 +11,6 @@ from pyspark.sql import functions as F
 from tillcube.contract import UNKNOWN_PRODUCT
 from tillcube.functions.calendar import with_calendar
 from tillcube.functions.filters import with_known
-from tillcube.operators.dedup import first_per_key
 from tillcube.operators.numbering import number_rows
 from tillcube.operators.reports import most_frequent
 
@@ -35,7 +34,7 @@ def date_dimension(lines: DataFrame, *parts: str) -> DataFrame:
 
 def invoice_dimension(lines: DataFrame) -> DataFrame:
     """One row per invoice with its moment, date and hour."""
-    invoices = first_per_key(lines.select("invoice_no", "invoice_date"), ["invoice_no"], ["invoice_date"])
+    invoices = lines.groupBy("invoice_no").agg(F.min("invoice_date").alias("invoice_date"))
     numbered = number_rows(invoices, "invoice_key", ["invoice_no"])
     numbered = numbered.withColumnRenamed("invoice_date", "invoice_datetime")
     return numbered.withColumns(

@@ -72,7 +72,7 @@ def integrate(sources: Sequence[Source]) -> dict[str, DataFrame]:
         "source_sheet",
         "source_name",
     )
-    facts = number_rows(facts, "fact_sales_id")
+    facts = number_rows(facts, "fact_sales_id", facts.columns, repeated=True)
     return {
         "fact_sales": facts,
         "quality_report": quality_counters(stacked, INTEGRATED),

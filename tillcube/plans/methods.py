@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tillcube.functions.filters import with_known
@@ -39,14 +39,14 @@ def by_pivot(sales: DataFrame) -> DataFrame:
     """A pivot whose only column is the measure itself; the key stays a column of the result."""
     measured = sales.withColumn("_measure", F.lit("total_price"))
 
-    def pivoted(key: str) -> DataFrame:
+    def pivoted(key: str, name: str, value: Column) -> DataFrame:
         grouped = with_known(measured, [key]).groupBy(key).pivot("_measure", ["total_price"])
-        return grouped.agg(F.sum("total_price"))
+        return grouped.agg(value).withColumnRenamed("total_price", name)
 
     return _stacked(
-        pivoted("country"),
-        pivoted("year_month"),
-        reports.distinct_by(sales, "customer_id", "invoice_no", "invoices"),
+        pivoted("country", "total_price", F.sum("total_price")),
+        pivoted("year_month", "total_price", F.sum("total_price")),
+        pivoted("customer_id", "invoices", F.count_distinct("invoice_no")),
     )
 
 

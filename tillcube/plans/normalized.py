@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -17,18 +19,24 @@ def with_business_key(lines: DataFrame) -> DataFrame:
     return lines.withColumn("customer_business_key", business_key(F.col("customer_id"), F.col("country")))
 
 
-def build_entities(lines: DataFrame) -> tuple[DataFrame, dict[str, DataFrame]]:
-    """Prepared lines and the three entities that carry surrogate keys.
+ENTITIES = ("country", "customer", "product")
+
 
-    The prepared lines are written once; each entity then scans only the columns it needs.
+def build_entities(lines: DataFrame, wanted: Sequence[str] = ENTITIES) -> tuple[DataFrame, dict[str, DataFrame]]:
+    """Prepared lines and those of the three entities with surrogate keys that are wanted; customers need the
+    countries.
+
+    For several entities the prepared lines are written once; each then scans only the columns it needs.
     """
-    lines = materialize(with_business_key(clean(lines, RULES["keep_all"])), "prepared_lines")
-    country = country_dimension(lines, "country_id")
-    entities = {
-        "country": country,
-        "customer": customer_dimension(lines, country, "country_id"),
-        "product": product_dimension(lines, "description"),
-    }
+    lines = with_business_key(clean(lines, RULES["keep_all"]))
+    lines = materialize(lines, "prepared_lines") if len(wanted) > 1 else lines
+    entities = {}
+    if "country" in wanted:
+        entities["country"] = country_dimension(lines, "country_id")
+    if "customer" in wanted:
+        entities["customer"] = customer_dimension(lines, entities["country"], "country_id")
+    if "product" in wanted:
+        entities["product"] = product_dimension(lines, "description")
     return lines, entities
 
 
@@ -58,7 +66,7 @@ def invoice_lines(lines: DataFrame, entities: dict[str, DataFrame]) -> DataFrame
     detail = detail.select(
         "invoice_no", "product_key", "quantity", "unit_price", is_return(F.col("quantity")).alias("is_return")
     )
-    return number_rows(detail, "invoice_line_id")
+    return number_rows(detail, "invoice_line_id", detail.columns, repeated=True)
 
 
 def normalize(lines: DataFrame) -> dict[str, DataFrame]:

@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
-
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -47,8 +45,10 @@ def month_ranking(sales: DataFrame) -> DataFrame:
     return reports.ranked(months, "total_price", "year_month")
 
 
-def country_by_year(sales: DataFrame, years: Sequence[int] | None = None) -> DataFrame:
-    return reports.cross_tab(sales, "country", "year", "total_price", years)
+def country_by_year(sales: DataFrame) -> DataFrame:
+    """Sums by country and year are written first: they tell which years there are, and are all that is pivoted."""
+    sums = materialize(reports.totals_by(sales, ["country", "year"], ["total_price"]), "country_years")
+    return reports.cross_tab(sums, "country", "year", "total_price")
 
 
 def country_by_month(sales: DataFrame) -> DataFrame:
@@ -74,7 +74,7 @@ def heat_map(sales: DataFrame, count: int = 15) -> DataFrame:
     return reports.keep_members(country_by_month(sales), chosen, "country")
 
 
-def build_reports(lines: DataFrame, country: str, year: int, years: Sequence[int] | None = None) -> dict[str, DataFrame]:
+def build_reports(lines: DataFrame, country: str, year: int) -> dict[str, DataFrame]:
     """All reports. The lines are scanned and cleaned once; their sums at the finest grain any
     report needs are written and answer everything else."""
     sums = materialize(reports.totals_by(sales_lines(lines), GRAIN, MEASURES), "olap_sums")
@@ -84,7 +84,7 @@ def build_reports(lines: DataFrame, country: str, year: int, years: Sequence[int
         "drilldown_year_month": by_month(sums),
         "slice_monthly": one_country(sums, country),
         "dice_monthly": one_country_and_year(sums, country, year),
-        "pivot_country_year": country_by_year(sums, years).orderBy("country"),
+        "pivot_country_year": country_by_year(sums).orderBy("country"),
         "top_countries": top_countries(sums),
         "month_ranking": ranking,
         "best_month": ranking.limit(1),

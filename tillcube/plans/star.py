@@ -77,7 +77,7 @@ def build_star(lines: DataFrame) -> dict[str, DataFrame]:
         "dim_customer": customer,
         "dim_product": product,
         "dim_date": date,
-        "fact_sales": number_rows(facts, "sales_fact_id"),
+        "fact_sales": number_rows(facts, "sales_fact_id", facts.columns, repeated=True),
     }
 
 

@@ -26,6 +26,18 @@ def customer_history(lines: DataFrame, tracked: str) -> DataFrame:
     return number_rows(versions, "customer_key", ["customer_id", "valid_from"])
 
 
+def customer_versions(lines: DataFrame, country: DataFrame, tracked: str) -> DataFrame:
+    """The customer dimension alone."""
+    return _named_country(customer_history(lines, tracked), country, tracked)
+
+
+def _named_country(customer: DataFrame, country: DataFrame, tracked: str) -> DataFrame:
+    if tracked != "country":
+        return customer
+    customer = look_up(customer, country, {"country": "country_name"}, "country_key")
+    return customer.withColumnRenamed("country", "country_name")
+
+
 def build_star_history(lines: DataFrame, tracked: str = "country") -> dict[str, DataFrame]:
     """Dimensions and ``fact_sales``, which refers to them by surrogate keys only."""
     lines = materialize(clean(lines, RULES["star"]), "clean_lines")
@@ -52,16 +64,13 @@ def build_star_history(lines: DataFrame, tracked: str = "country") -> dict[str,
         line_value(F.col("quantity"), F.col("unit_price")).alias("revenue"),
         F.lit(1).alias("line_count"),
     )
-    if tracked == "country":
-        customer = look_up(customer, country, {"country": "country_name"}, "country_key")
-        customer = customer.withColumnRenamed("country", "country_name")
     return {
         "dim_country": country,
         "dim_product": product,
         "dim_date": date,
         "dim_invoice": invoice,
-        "dim_customer": customer,
-        "fact_sales": number_rows(facts, "sales_key"),
+        "dim_customer": _named_country(customer, country, tracked),
+        "fact_sales": number_rows(facts, "sales_key", facts.columns, repeated=True),
     }
 
 

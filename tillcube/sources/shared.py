@@ -21,7 +21,8 @@ def shared_folder(spark: SparkSession) -> str:
     configured = spark.conf.get(SHARED_FOLDER_SETTING, None)
     if configured:
         return configured.rstrip("/")
-    if not spark.sparkContext.master.startswith("local"):
+    master = spark.sparkContext.master
+    if master != "local" and not master.startswith("local["):
         raise ValueError(f"set {SHARED_FOLDER_SETTING} to a folder that all executors can reach")
     application = spark.sparkContext.applicationId
     if application not in _local_folders:
