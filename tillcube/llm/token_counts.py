@@ -44,11 +44,12 @@ CHUNKED = (
 
 
 def _count(path: str, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    encode = encoder(path, leading_blank=True).encode
+    known = encoder(path, leading_blank=True)
     for batch in batches:
-        _, begin = encode(batch.column("text"))
-        kept = [batch.column(name) for name in ("doc_id", "row_key", "n_bytes")]
-        yield pa.RecordBatch.from_arrays([*kept, pa.array(np.diff(begin))], [x.split()[0] for x in COUNTED.split(", ")])
+        for documents, _, begin in known.steps(batch, "text"):
+            kept = [documents.column(name) for name in ("doc_id", "row_key", "n_bytes")]
+            counts_ = pa.array(np.diff(begin))
+            yield pa.RecordBatch.from_arrays([*kept, counts_], [x.split()[0] for x in COUNTED.split(", ")])
 
 
 def _boundaries(encoding) -> tuple[np.ndarray, np.ndarray]:

@@ -46,20 +46,21 @@ def write_options(row_group_bytes: int = ROW_GROUP_BYTES, page_bytes: int = PAGE
 
 def _encode(path: str, end_id: int, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     part, seen = TaskContext.get().partitionId(), 0
-    encode = encoder(path, leading_blank=False).encode
+    known = encoder(path, leading_blank=False)
     for batch in batches:
-        ids, begin = with_end(*encode(batch.column("text")), end_id)
-        yield pa.RecordBatch.from_arrays(
-            [
-                batch.column("doc_id"),
-                pa.array(np.full(batch.num_rows, part, np.int32)),
-                pa.array(seen + begin[:-1]),
-                pa.array(np.diff(begin)),
-                pa.ListArray.from_arrays(pa.array(begin.astype(np.int32)), pa.array(ids.astype(np.int32))),
-            ],
-            names=[x.split()[0] for x in FILE_SCHEMA.split(", ")],
-        )
-        seen += int(begin[-1])
+        for documents, *encoded in known.steps(batch, "text"):
+            ids, begin = with_end(*encoded, end_id)
+            yield pa.RecordBatch.from_arrays(
+                [
+                    documents.column("doc_id"),
+                    pa.array(np.full(documents.num_rows, part, np.int32)),
+                    pa.array(seen + begin[:-1]),
+                    pa.array(np.diff(begin)),
+                    pa.ListArray.from_arrays(pa.array(begin.astype(np.int32)), pa.array(ids.astype(np.int32))),
+                ],
+                names=[x.split()[0] for x in FILE_SCHEMA.split(", ")],
+            )
+            seen += int(begin[-1])
 
 
 def write(
