@@ -31,6 +31,7 @@ from pyspark.sql import functions as F
 from tillcube.llm.segments import encoder
 from tillcube.llm.tables import running_sums
 from tillcube.llm.tokens import checksums, tokenizer_path, with_end
+from tillcube.sources.shared import materialize
 
 CAPACITY = 1024
 TOKENIZER = "byte_bpe_50k.json"
@@ -62,27 +63,28 @@ def cuts(length: int, capacity: int) -> Iterator[tuple[int, int]]:
 
 
 def _pieces(path: str, end_id: int, capacity: int, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    encode = encoder(path, leading_blank=True).encode
+    known = encoder(path, leading_blank=True)
     for batch in batches:
-        ids, begin = with_end(*encode(batch.column("text")), end_id)
-        rows, pieces, starts, lengths = [], [], [], []
-        for row, length in enumerate(np.diff(begin).tolist()):
-            for piece, (start, size) in enumerate(cuts(length, capacity)):
-                rows.append(row)
-                pieces.append(piece)
-                starts.append(start)
-                lengths.append(size)
-        ends = np.concatenate([[0], np.cumsum(lengths, dtype=np.int64)])
-        yield pa.RecordBatch.from_arrays(
-            [
-                batch.column("doc_id").take(pa.array(rows, pa.int64())),
-                pa.array(pieces, pa.int32()),
-                pa.array(starts, pa.int64()),
-                pa.array(lengths, pa.int64()),
-                pa.array(checksums(ids, ends)),
-            ],
-            names=[x.split()[0] for x in PIECES.split(", ")],
-        )
+        for documents, *encoded in known.steps(batch, "text"):
+            ids, begin = with_end(*encoded, end_id)
+            rows, numbers, starts, lengths = [], [], [], []
+            for row, length in enumerate(np.diff(begin).tolist()):
+                for piece, (start, size) in enumerate(cuts(length, capacity)):
+                    rows.append(row)
+                    numbers.append(piece)
+                    starts.append(start)
+                    lengths.append(size)
+            ends = np.r_[0, np.cumsum(lengths, dtype=np.int64)]
+            yield pa.RecordBatch.from_arrays(
+                [
+                    documents.column("doc_id").take(pa.array(rows, pa.int64())),
+                    pa.array(numbers, pa.int32()),
+                    pa.array(starts, pa.int64()),
+                    pa.array(lengths, pa.int64()),
+                    pa.array(checksums(ids, ends)),
+                ],
+                names=[x.split()[0] for x in PIECES.split(", ")],
+            )
 
 
 def pieces(
@@ -159,7 +161,9 @@ def _place(plan: list[Placement], batches: Iterator[pa.RecordBatch]) -> Iterator
 
 
 def pack(cut: DataFrame, capacity: int = CAPACITY) -> DataFrame:
-    """Add ``sequence_id`` and ``offset`` to the rows of ``pieces``."""
+    """Add ``sequence_id`` and ``offset`` to the rows of ``pieces``, which are written first, for ranking them reads
+    them twice and no text should be encoded twice."""
+    cut = materialize(cut, "pieces_cut")
     order = [F.col("length").desc(), F.col("doc_id"), F.col("piece"), F.col("ids_crc32")]
     ranked, _ = running_sums(cut.withColumn("one", F.lit(1).cast("long")), order, ["one"], "pieces")
     found = ranked.groupBy("length").agg(F.count("*").alias("pieces"), F.min("one_before").alias("first")).collect()
