@@ -22,13 +22,14 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tillcube.llm.quality_rules import Condition, Rule, conjunction
-from tillcube.llm.statistics import SHARES, shares, with_statistics
+from tillcube.llm.statistics import SHARES, shares, statistics_of, with_statistics
 from tillcube.llm.tables import ROW, packed, unpacked
 from tillcube.sources.shared import materialize
 
 TREES = 12
 DEPTH = 3
 PENALTY = 0.001
+ROUNDS = 40
 SEED = 7
 ACCEPTED = 0.5
 
@@ -82,7 +83,7 @@ def fit(labelled: DataFrame, trees: int = TREES, depth: int = DEPTH, penalty: fl
     names = {name: F.col(name) for name in SHARES}
     held = F.array(*[conjunction(rule, names).cast("double") for rule in rules])
     matrix = rows.select("label", array_to_vector(held).alias("features"))
-    lasso = LogisticRegression(regParam=penalty, elasticNetParam=1.0, standardization=False, maxIter=100).fit(matrix)
+    lasso = LogisticRegression(regParam=penalty, elasticNetParam=1.0, standardization=False, maxIter=ROUNDS).fit(matrix)
     weights = [(rule, float(weight)) for rule, weight in zip(rules, lasso.coefficients.toArray(), strict=True) if weight]
     return Ensemble(float(lasso.intercept), tuple(weights))
 
@@ -105,21 +106,13 @@ def scored(
 
     The statistics are worked out once and written; learning and scoring read them.
     """
-    rows = docs.select(docs[id_column].cast("long").alias("doc_id"), docs[text_column].alias("text"))
-    stats = materialize(with_statistics(rows, F.col("text"), "doc_id"), "statistics")
+    stats = statistics_of(docs, id_column, text_column)
     ensemble = fit(stats.join(known_labels(labels), "doc_id").select("stats", "label"))
     return stats.select("doc_id", held_out(F.col("doc_id")).alias("held_out"), ensemble.score(F.col("stats")).alias("score")).withColumn(
         "predicted", (F.col("score") >= ACCEPTED).cast("int")
     )
 
 
-def train(docs: DataFrame, labels: DataFrame, id_column: str = "doc_id", text_column: str = "text") -> Ensemble:
-    """Learn from the labelled among ``docs``; only their texts are looked at."""
-    rows = docs.select(docs[id_column].cast("long").alias("doc_id"), docs[text_column].alias("text"))
-    found = with_statistics(rows.join(known_labels(labels), "doc_id"), F.col("text"), "doc_id", "label")
-    return fit(found.select("stats", "label"))
-
-
 def keep(docs: DataFrame, ensemble: Ensemble, accepted: float = ACCEPTED, text_column: str = "text") -> DataFrame:
     """The rows of ``docs`` that score at least ``accepted``, with their columns. No row is moved."""
     row = packed(docs)

@@ -71,19 +71,18 @@ def base_failed(stats: Column) -> Column:
     return (stats["n_words"] < MIN_WORDS) | (100 * stats["n_repeat_words"] > MAX_REPEAT_PERCENT * stats["n_words"])
 
 
-def labelled_statistics(docs: DataFrame, labels: DataFrame, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
-    """``doc_id``, ``stats`` and ``low`` (1 for low quality) of labelled documents."""
-    known = labels.where(F.col("quality").isNotNull()).groupBy("doc_id").agg(F.min("quality").alias("quality"))
-    texts = docs.select(docs[id_column].alias("doc_id"), docs[text_column].alias("text"))
-    found = with_statistics(texts.join(known, "doc_id"), F.col("text"), "doc_id", "quality")
-    return found.select("doc_id", "stats", (1 - F.col("quality")).cast("long").alias("low"))
+def known_labels(labels: DataFrame) -> DataFrame:
+    """``doc_id`` and ``low`` (1 for low quality); a document with both labels is of low quality."""
+    known = labels.where(F.col("quality").isNotNull() & F.col("doc_id").isNotNull())
+    return known.groupBy("doc_id").agg((1 - F.min("quality")).cast("long").alias("low"))
 
 
-def learn(labelled: DataFrame) -> list[Rule]:
+def learn(known: DataFrame) -> list[Rule]:
     """Rules from rows with ``doc_id``, ``stats`` and ``low``."""
     values = shares(F.col("stats"))
     pruning = F.pmod(F.xxhash64("doc_id"), F.lit(PRUNING_SHARE)) == 0
-    rows = labelled.select(*[values[name].alias(name) for name in SHARES], "low", pruning.alias("pruning"))
+    rows = known.select(*[values[name].alias(name) for name in SHARES], "low", pruning.alias("pruning"))
+    rows = materialize(rows, "labelled_shares")
     thresholds = _thresholds(rows)
     places = [_interval(F.col(name), thresholds[name]) for name in SHARES]
     rows = materialize(rows.withColumn("bins", F.array(*places)), "labelled")
@@ -168,12 +167,9 @@ def _prune(rows: DataFrame, rule: Rule) -> Rule:
     return prefixes[best] if low and low >= MIN_PRECISION * every else ()
 
 
-def judged(docs: DataFrame, rules: list[Rule], id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
-    """``doc_id``, counts, ``base_failed`` and ``kept`` of every row."""
-    rows = docs.select(docs[id_column].cast("long").alias("doc_id"), docs[text_column].alias("text"))
-    return _decided(with_statistics(rows, F.col("text"), "doc_id"), rules).select(
-        "doc_id", "stats.*", "base_failed", "kept"
-    )
+def judged(stats: DataFrame, rules: list[Rule]) -> DataFrame:
+    """``doc_id``, counts, ``base_failed`` and ``kept`` of every row of ``statistics_of``."""
+    return _decided(stats, rules).select("doc_id", "stats.*", "base_failed", "kept")
 
 
 def _decided(rows: DataFrame, rules: list[Rule]) -> DataFrame:

@@ -19,6 +19,7 @@ from tillcube.llm import (
     token_counts,
     token_files,
 )
+from tillcube.llm.statistics import statistics_of
 from tillcube.llm.tables import documents, labels
 from tillcube.sources.shared import new_path
 
@@ -26,9 +27,9 @@ TOKEN_LIMIT = 1024
 
 
 def op1_quality_rules(spark: SparkSession, folder: str) -> DataFrame:
-    docs = documents(spark, folder)
-    rules = quality_rules.learn(quality_rules.labelled_statistics(docs, labels(spark, folder)))
-    return quality_rules.judged(docs, rules)
+    stats = statistics_of(documents(spark, folder))
+    rules = quality_rules.learn(stats.join(quality_rules.known_labels(labels(spark, folder)), "doc_id"))
+    return quality_rules.judged(stats, rules)
 
 
 def op2_sharding(spark: SparkSession, folder: str) -> DataFrame:

@@ -10,11 +10,14 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tillcube.llm.text import BLANKS, WORD, let, occurrences, whole, without, words
+from tillcube.sources.shared import materialize
 
 # The characters that count as symbols and as marks, and the words of a window.
 SYMBOLS = "#*$%&|<>"
 MARKS = "!?.,;:"
 WINDOW = 8
+# Rows with an id and a label that may be sent to every executor: some tens of megabytes.
+BROADCAST_ROWS = 1_000_000
 
 COUNTS = (
     "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "n_lines", "n_distinct", "n_stutters",
@@ -81,7 +84,30 @@ def with_statistics(rows: DataFrame, text: Column, *keep: str) -> DataFrame:
         "n_upper": F.length("_text") - F.length(F.regexp_replace("_text", r"\p{Lu}+", "")),
         "n_marks": occurrences(F.col("_text"), MARKS),
     }
-    return base.select(*keep, F.struct(*[counts[name].cast("long").alias(name) for name in COUNTS]).alias("stats"))
+    found = F.struct(*[counts[name].cast("long").alias(name) for name in COUNTS])
+    # The condition always holds. Spark takes it for one that may change, and so does not copy the statistics into every
+    # expression and filter that uses them, where each copy would be worked out anew.
+    return base.select(*keep, F.when(F.spark_partition_id() >= 0, found).alias("stats"))
+
+
+def statistics_of(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
+    """``doc_id`` and ``stats`` of every row, written once: texts are read where they lie and never moved."""
+    rows = docs.select(docs[id_column].cast("long").alias("doc_id"), docs[text_column].alias("text"))
+    return materialize(with_statistics(rows, F.col("text"), "doc_id"), "statistics")
+
+
+def statistics_of_some(
+    docs: DataFrame, known: DataFrame, id_column: str = "doc_id", text_column: str = "text"
+) -> DataFrame:
+    """The rows of ``known`` (``doc_id`` and other columns, few bytes each) with the ``stats`` of their documents.
+
+    Up to ``BROADCAST_ROWS`` of them, counted first, go to where the texts lie, so that only their texts are looked at;
+    more are joined to the statistics of all documents. Texts are never moved.
+    """
+    if known.count() > BROADCAST_ROWS:
+        return statistics_of(docs, id_column, text_column).join(known, "doc_id")
+    rows = docs.select(docs[id_column].cast("long").alias("doc_id"), docs[text_column].alias("text"))
+    return with_statistics(rows.join(F.broadcast(known), "doc_id"), F.col("text"), *known.columns)
 
 
 def shares(stats: Column) -> dict[str, Column]:
