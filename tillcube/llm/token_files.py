@@ -35,6 +35,7 @@ FILE_SCHEMA = "doc_id long, part int, part_start long, n_tokens long, ids array<
 def write_options(row_group_bytes: int = ROW_GROUP_BYTES, page_bytes: int = PAGE_BYTES) -> dict[str, str]:
     return {
         "compression": "zstd",
+        "parquet.compression.codec.zstd.level": "1",
         "parquet.block.size": str(row_group_bytes),
         "parquet.page.size": str(page_bytes),
         # Version 2 pages: delta encoding where there is no dictionary.
