@@ -23,6 +23,8 @@ def line(**values):
         "country": "France",
     }
     row.update(values)
+    if isinstance(row["quantity"], int):
+        row["quantity"] = Decimal(row["quantity"])
     return tuple(row[name] for name in COLUMNS)
 
 

@@ -8,7 +8,7 @@ from retail import line, lines, plain
 
 from tillcube.operators import cleaning, dedup
 from tillcube.operators.cleaning import RULES
-from tillcube.operators.align import Source
+from tillcube.operators.align import Source, typed, unparsed_values
 from tillcube.plans import integration
 
 
@@ -160,3 +160,21 @@ def test_price_conflicts_ignore_unknown_customers(spark):
 def test_moment_of_cleaned_line(spark):
     row = cleaning.clean(lines(spark, line()), RULES["star"]).first()
     assert row.invoice_date == datetime(2011, 1, 5, 8, 30)
+
+
+def test_large_small_and_broken_numbers_are_kept(spark):
+    """Every one of these lines is sound, and so is every rule set's verdict on it."""
+    columns = "invoice_no string, stock_code string, description string, quantity string, invoice_date string, " \
+        "unit_price string, customer_id string, country string"
+    found = [("2.5", "1"), ("3000000000", "1"), ("1", "0.00004"), ("1", "12345678901.5"), ("2", "1.5")]
+    rows = [(str(at), "A", "lamp", *numbers, "7", "France") for at, numbers in enumerate(found)]
+    rows = [(*row[:4], "2011-01-05 08:30:00", *row[4:]) for row in rows]
+    raw = spark.createDataFrame(rows, columns)
+    for name in ("olap", "basic", "star", "analysis"):
+        kept = cleaning.clean(typed(raw), RULES[name]).collect()
+        assert sorted((row.quantity, row.unit_price) for row in kept) == sorted(
+            (Decimal(quantity), Decimal(price)) for quantity, price in found
+        )
+    broken = raw.union(spark.createDataFrame([("9", "A", "x", "many", "soon", "", None, "France")], columns))
+    counted = {row.column_name: row.unparsed_values for row in unparsed_values(broken).collect()}
+    assert {name: count for name, count in counted.items() if count} == {"quantity": 1, "invoice_date": 1}

@@ -47,7 +47,7 @@ def test_job(spark, inputs, folder, job):
         assert plain(counts) == [("store.csv", "csv", "3")]
     if job == "olap":
         years = files.read_csv(spark, f"{folder}/reports/rollup_year")
-        assert plain(years) == [("2010", "22.3000", "8"), ("2011", "14.0000", "4")]
+        assert plain(years) == [("2010", "22.3000000000", "8.0000"), ("2011", "14.0000000000", "4.0000")]
     if job == "methods":
         normal, large = (
             {(r.report, r.key): float(r.value) for r in files.read_csv(spark, f"{folder}/reports/{s}_groupby").collect()}

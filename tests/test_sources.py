@@ -7,7 +7,7 @@ import pytest
 from pyspark.sql import functions as F
 from retail import line, lines, plain
 
-from tillcube.functions.typing import as_identifier, as_price, as_timestamp, as_whole_number
+from tillcube.functions.typing import as_identifier, as_price, as_quantity, as_timestamp
 from tillcube.operators import align
 from tillcube.operators.align import Source
 from tillcube.sources import files, shared, sinks
@@ -103,8 +103,8 @@ def test_timestamp_text_does_not_depend_on_the_time_zone(spark):
 def test_number_text(spark):
     df = spark.createDataFrame([("6",), ("17850.0",), ("2.5",), ("x",), ("",), ("NaN",), ("99999999999",)], "t string")
     t = F.col("t")
-    found = df.select(as_whole_number(t), as_identifier(t), as_price(t)).collect()
-    assert [row[0] for row in found] == [6, 17850, None, None, None, None, None]
+    found = df.select(as_quantity(t), as_identifier(t), as_price(t)).collect()
+    assert [row[0] for row in found] == [6, 17850, Decimal("2.5"), None, None, None, 99999999999]
     assert [row[1] for row in found] == [6, 17850, 2, None, None, None, 99999999999]
     assert [row[2] for row in found[:4]] == [Decimal(6), Decimal(17850), Decimal("2.5"), None]
 

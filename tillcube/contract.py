@@ -7,9 +7,9 @@ CONTRACT: dict[str, str] = {
     "invoice_no": "string",
     "stock_code": "string",
     "description": "string",
-    "quantity": "int",
+    "quantity": "decimal(16,4)",
     "invoice_date": "timestamp_ntz",
-    "unit_price": "decimal(14,4)",
+    "unit_price": "decimal(18,6)",
     "customer_id": "bigint",
     "country": "string",
 }

@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from tillcube.contract import CONTRACT
+
 # Fixed value: the slash form of retail files, such as 12/1/10 8:26 (month, day, two-digit year).
 SLASH_DATE = r"^\s*(\d{1,2})/(\d{1,2})/YEAR\s+(\d{1,2}:\d{2}(?::\d{2})?)\s*$"
 # Two-digit years from 69 on lie in the last century.
@@ -26,13 +28,12 @@ def as_timestamp(text: Column) -> Column:
 
 
 def as_price(text: Column) -> Column:
-    return text.try_cast("decimal(14,4)")
+    return text.try_cast(CONTRACT["unit_price"])
 
 
-def as_whole_number(text: Column, spark_type: str = "int") -> Column:
-    """Parse a whole number, also one written as ``17850.0``; a fraction becomes null."""
-    number = text.try_cast("decimal(24,4)")
-    return F.when(number == F.floor(number), number.try_cast(spark_type))
+def as_quantity(text: Column) -> Column:
+    """Parse a quantity, whole or not."""
+    return text.try_cast(CONTRACT["quantity"])
 
 
 def as_identifier(text: Column) -> Column:

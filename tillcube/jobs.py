@@ -59,10 +59,16 @@ def profile_job(sources: Sequence[Source], options: argparse.Namespace) -> Resul
             "missing_values": profile.missing_values(stacked),
             "description": profile.describe(stacked),
             "rows_per_source": align.rows_per_source(stacked),
+            "unparsed_values": unparsed(sources),
         }
     )
 
 
+def unparsed(sources: Sequence[Source]) -> DataFrame:
+    """Values of all sources that are there but do not parse."""
+    return align.unparsed_values(align.stack([align.align(source.lines, fill_missing=True) for source in sources]))
+
+
 def entities_job(sources: Sequence[Source], options: argparse.Namespace) -> Result:
     return Result(tables=normalized.normalize(integration.contract_lines(sources)))
 
@@ -85,11 +91,13 @@ def history_job(sources: Sequence[Source], options: argparse.Namespace) -> Resul
 
 def load_job(sources: Sequence[Source], options: argparse.Namespace) -> Result:
     built = etl.build_fact(integration.contract_lines(sources))
+    built["unparsed_values"] = unparsed(sources)
     return Result({"fact_sales": built.pop("fact_sales")}, built, {"fact_sales": ("year", "month")})
 
 
 def integrate_job(sources: Sequence[Source], options: argparse.Namespace) -> Result:
     built = integration.integrate(sources)
+    built["unparsed_values"] = unparsed(sources)
     tables = {name: built.pop(name) for name in ("fact_sales", "duplicates")}
     return Result(tables, built, {"fact_sales": ("year", "month")})
 

@@ -7,11 +7,11 @@ from collections.abc import Sequence
 from dataclasses import dataclass
 from functools import reduce
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tillcube.contract import COLUMNS, CONTRACT, HEADER_SPELLINGS, LINEAGE
-from tillcube.functions.typing import as_identifier, as_price, as_timestamp, as_whole_number
+from tillcube.functions.typing import as_identifier, as_price, as_quantity, as_timestamp
 
 
 @dataclass(frozen=True)
@@ -62,16 +62,25 @@ def align(df: DataFrame, keep: Sequence[str] = (), fill_missing: bool = False) -
 
 def typed(lines: DataFrame) -> DataFrame:
     """Give the contract columns their types; columns that have them already are left alone."""
-    parse = {
-        "int": as_whole_number,
-        "timestamp_ntz": as_timestamp,
-        "decimal(14,4)": as_price,
-        "bigint": as_identifier,
-        "string": lambda column: column.cast("string"),
-    }
     present = dict(lines.dtypes)
-    wrong = {name: want for name, want in CONTRACT.items() if present[name] != want}
-    return lines.withColumns({name: parse[want](F.col(name)) for name, want in wrong.items()})
+    wrong = [name for name, want in CONTRACT.items() if present[name] != want]
+    return lines.withColumns({name: _parsed(name) for name in wrong})
+
+
+def _parsed(name: str) -> Column:
+    parse = {"quantity": as_quantity, "invoice_date": as_timestamp, "unit_price": as_price, "customer_id": as_identifier}
+    return parse[name](F.col(name)) if name in parse else F.col(name).cast(CONTRACT[name])
+
+
+def unparsed_values(lines: DataFrame) -> DataFrame:
+    """Per contract column the values that are there but do not parse, from aligned lines not yet typed.
+
+    Typing makes them null and the rules then drop their lines; this report tells how many.
+    """
+    found = [
+        F.count_if((F.trim(F.col(name).cast("string")) != "") & _parsed(name).isNull()).alias(name) for name in CONTRACT
+    ]
+    return lines.agg(*found).unpivot([], list(CONTRACT), "column_name", "unparsed_values")
 
 
 def stack(frames: Sequence[DataFrame]) -> DataFrame:

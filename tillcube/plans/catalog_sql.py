@@ -12,11 +12,11 @@ with raw as (
            || cast(l_orderkey as varchar) as invoice_no,
          cast(l_partkey as varchar) as stock_code,
          case when p_size = 1 then null else p_name end as description,
-         cast(case when l_returnflag = 'R' then -l_quantity else l_quantity end as integer) as quantity,
+         cast(case when l_returnflag = 'R' then -l_quantity else l_quantity end as bigint) as quantity,
          o_orderdate as invoice_date,
          cast(case when p_size = 50 and l_linenumber = 7 then cast(0 as decimal(12,2))
               else cast(p_retailprice as decimal(12,2)) + cast(l_discount as decimal(12,2)) end
-              as decimal(14,4)) as unit_price,
+              as decimal(18,6)) as unit_price,
          case when o_orderpriority = '4-NOT SPECIFIED' then null else o_custkey end as customer_id,
          n_name as country, l_shipdate, o_orderpriority
   from lineitem join orders on l_orderkey = o_orderkey join part on l_partkey = p_partkey
@@ -342,7 +342,7 @@ SIGNED = """cast(sum(sales_amount) as double) as net_sales, cast(sum(gross_sales
 STAR = "cast(sum(revenue) as double) as revenue, cast(sum(quantity) as bigint) as quantity"
 DUPLICATES = f"""select {LINE_COLUMNS.replace("unit_price", "cast(unit_price as double) as unit_price")}, source_rank,
   source_system, source_sheet, source_name,
-  concat_ws('|', invoice_no, stock_code, description, cast(quantity as varchar), cast(invoice_date as varchar),
+  concat_ws('|', invoice_no, stock_code, description, cast(cast(quantity as decimal(16,4)) as varchar), cast(invoice_date as varchar),
     cast(unit_price as varchar), cast(customer_id as varchar), country) as duplicate_business_key
   from (select *, count(*) over w as members, min(source_rank) over w as low, max(source_rank) over w as high
         from valid_stacked window w as (partition by {LINE_COLUMNS}))"""
@@ -398,7 +398,7 @@ def _describe() -> str:
 def _profile() -> str:
     types = zip(
         LINE_COLUMNS.split(", "),
-        ("string", "string", "string", "int", "timestamp_ntz", "decimal(14,4)", "bigint", "string"),
+        ("string", "string", "string", "decimal(16,4)", "timestamp_ntz", "decimal(18,6)", "bigint", "string"),
     )
     return _each(
         lambda c, t: f"""select '{c}' as column_name, '{t}' as dtype,

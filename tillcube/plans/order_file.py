@@ -12,7 +12,7 @@ from tillcube.sources.files import read_csv
 
 SCHEMA = (
     "order_id int, order_date date, customer_name string, product_name string, category string, "
-    "quantity int, unit_price decimal(14,4), country string"
+    "quantity decimal(16,4), unit_price decimal(18,6), country string"
 )
 
 

@@ -10,6 +10,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tillcube.contract import CONTRACT
 from tillcube.operators.align import Source
 
 # Ship dates that bound the two sources and the two sheets of the second one.
@@ -47,9 +48,9 @@ def _line_columns() -> list[Column]:
         ).alias("invoice_no"),
         F.col("l_partkey").cast("string").alias("stock_code"),
         F.when(F.col("p_size") == 1, None).otherwise(F.col("p_name")).alias("description"),
-        quantity.cast("int").alias("quantity"),
+        quantity.cast(CONTRACT["quantity"]).alias("quantity"),
         F.col("o_orderdate").alias("invoice_date"),
-        F.when(free, 0).otherwise(price).cast("decimal(14,4)").alias("unit_price"),
+        F.when(free, 0).otherwise(price).cast(CONTRACT["unit_price"]).alias("unit_price"),
         F.when(F.col("o_orderpriority") == "4-NOT SPECIFIED", None)
         .otherwise(F.col("o_custkey"))
         .alias("customer_id"),
