@@ -1,5 +1,13 @@
-"""SQL that gives the rows of the registered queries, where SQL can."""
+"""SQL that gives the rows of the registered queries, where SQL can: the others learn, encode, or hash in ways that it
+has no function for."""
 
 from __future__ import annotations
 
-ORACLE_SQL: dict[str, str] = {}
+ORACLE_SQL: dict[str, str] = {
+    "op7_exact_dedup": r"""
+        select doc_id, min(doc_id) over equal_texts as keep_id, count(*) over equal_texts as group_size,
+               doc_id = min(doc_id) over equal_texts as kept, sha256(norm) as text_sha256
+        from (select doc_id, regexp_replace(coalesce(text, ''), '[\x20\x09-\x0D]+', ' ', 'g') as norm from documents)
+        window equal_texts as (partition by norm)
+    """,
+}
