@@ -108,6 +108,16 @@ def test_a_passage_is_found_wherever_it_stands(spark):
     ) == [1]
 
 
+def test_exact_copies_of_short_lines_go_whole(spark):
+    texts = ["\n".join(odd.prose(100 * at + x, 9) for x in range(2 + at)) for at in range(12)]
+    # A long line, with a short one alone on each side of it or two.
+    texts += ["\n".join([*(odd.prose(7000 + 10 * at + x, 9) for x in range(2)), odd.prose(8000 + at, 60),
+                         *(odd.prose(9000 + 10 * at + x, 9) for x in range(3))]) for at in range(6)]
+    docs = [(at + 100 * copy, text) for at, text in enumerate(texts) for copy in range(2)]
+    cut = line_dedup.deduplicate(spark.createDataFrame(docs, "doc_id long, text string")).collect()
+    assert odd.many((r.doc_id, r.text) for r in cut) == odd.many((i, text if i < 100 else "") for i, text in docs)
+
+
 def pieces_of(ids):
     head = len(ids) % 1024
     starts = ([0] if head else []) + list(range(head, len(ids), 1024))

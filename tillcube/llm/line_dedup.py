@@ -1,8 +1,9 @@
 """De-duplication of repeated passages by content-defined chunks of lines.
 
-A rolling hash over the hashes of the last lines ends a chunk wherever its low bits are zero. A boundary thus depends
-on a few lines only, so a passage that stands at another place in another document is cut at the same lines,
-but for its first and last ones. A line of many words is a passage of its own and always a chunk of its own. Chunks of
+A rolling hash over the hashes of the last lines ends a chunk wherever its low bits are zero and the chunk has two lines. A
+boundary thus depends on a few lines only, so a passage that stands at another place in another document is cut at the
+same lines, but for its first and last ones. A line of many words is a passage of its own and always a chunk of its own; a
+shorter line is alone in a chunk only where it has no other short line beside it. Chunks of
 several lines, or of one such line, that occur in several places are removed but for the first: the one in the document with
 the smallest id, the first in it. Equality is decided on bytes: chunks are grouped by their whole text, which
 collapses copies before they move, so that a passage that stands in a third of all documents is a row per task.
@@ -29,7 +30,7 @@ from pyspark.sql import functions as F
 from tillcube.llm.tables import ROW, packed, unpacked
 from tillcube.sources.shared import materialize
 
-# Lines that a boundary depends on, and lines between boundaries on average.
+# Lines that a boundary depends on, and lines between boundaries on average before chunks of one line are joined on.
 WINDOW = 2
 AVERAGE = 2
 # Words of a line that is a passage of its own.
@@ -51,7 +52,18 @@ def chunk_ends(lines: list[bytes], window: int, average: int, passage_words: int
     ends |= long
     ends[:-1] |= long[1:]
     ends[-1] = True
-    return np.flatnonzero(ends)
+    found: list[int] = []
+    first = 0
+    for end in np.flatnonzero(ends).tolist():
+        if end == first and not long[end]:
+            # A short line alone goes with the lines after it, or where none may with those before.
+            if end + 1 < len(lines) and not long[end + 1]:
+                continue
+            if found and not long[found[-1]]:
+                found.pop()
+        found.append(end)
+        first = end + 1
+    return np.array(found)
 
 
 def _chunks(
