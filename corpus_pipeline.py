@@ -2,6 +2,10 @@
 
 Each stage takes the documents that the one before kept and applies one operator. All but the last return whole
 rows of the documents. What the classifier and the rules know they learn from the labelled ones among all documents.
+
+Defined cases: a null text counts as the empty one, which the base rules reject; rows without an id go through like any
+other and are kept once per group of equal texts; repeated rows are copies; extra columns stay until packing, which
+returns its own; without documents there are no rows.
 """
 
 from __future__ import annotations
@@ -10,7 +14,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tillcube.llm import exact_dedup, packing, quality_classifier, quality_rules, similar_texts
+from tillcube.llm import exact_dedup, packing, quality_classifier, quality_rules, simhash_dedup
 from tillcube.llm.statistics import statistics_of_some
 from tillcube.llm.tables import documents, labels
 from tillcube.sources.shared import materialize
@@ -36,8 +40,8 @@ def exact(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of similar texts (five-word shingles, similarity 0.8)."""
-    return similar_texts.deduplicate(docs)
+    """One document of each component of fingerprints over three-word shingles that differ in two bits or fewer."""
+    return simhash_dedup.deduplicate(docs, simhash_dedup.SHINGLE, simhash_dedup.RADIUS)
 
 
 def packed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
