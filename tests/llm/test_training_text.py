@@ -14,7 +14,6 @@ from tillcube.llm import (
     piece_viterbi,
     quality_classifier,
     sharding,
-    similar_texts,
     simhash_dedup,
     token_counts,
     token_files,
@@ -75,41 +74,6 @@ def test_components_of_chains_and_stars(spark):
     assert roots == expected
 
 
-def test_wide_prints_join_similar_texts_only(spark):
-    draw = random.Random(9)
-    base = [odd.prose(seed, 300, "abcde").split() for seed in range(8)]
-    docs = []
-    for at, words in enumerate(base):
-        docs.append((10 * at, " ".join(words)))
-        for copy in range(1, 4):
-            changed = list(words)
-            for place in draw.sample(range(300), 3):
-                changed[place] = "changed"
-            docs.append((10 * at + copy, " ".join(changed).upper()))
-    docs += [(500, None), (501, " "), (None, "no id"), (502, docs[0][1])]
-    table = spark.createDataFrame([(*row, "x") for row in docs], "doc_id long, text string, row string")
-    kept = similar_texts.deduplicate(table)
-    assert kept.columns == table.columns
-    ids = {row.doc_id for row in kept.collect()}
-    # Three words of 300 leave a similarity of 0.9; texts without words are alike.
-    assert ids == {10 * at for at in range(8)} | {500, None}
-
-
-def test_wide_prints_join_from_the_stated_similarity_on(spark):
-    """Six words of 300, five apart, leave 266 of 326 shingles (0.816), eight leave 256 of 336 (0.762)."""
-    docs = []
-    for at in range(40):
-        words = odd.prose(5000 + at, 300, "abcdefgh").split()
-        docs.append((3 * at, " ".join(words)))
-        for copy, changes in ((1, 6), (2, 8)):
-            changed = list(words)
-            for place in random.Random(10 * at + copy).sample(range(4, 296, 10), changes):
-                changed[place] = f"changed{copy}"
-            docs.append((3 * at + copy, " ".join(changed)))
-    found = similar_texts.groups(spark.createDataFrame(docs, "doc_id long, text string")).collect()
-    assert odd.many((row.doc_id, row.component_id) for row in found) == odd.many((3 * at + 1, 3 * at) for at in range(40))
-
-
 @pytest.mark.parametrize("operator", [exact_dedup.deduplicate, simhash_dedup.deduplicate])
 def test_copies_leave_one_with_all_its_columns(spark, odd_folder, operator):
     docs = documents(spark, odd_folder)
