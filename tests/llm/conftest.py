@@ -21,6 +21,6 @@ def odd_folder(spark, tmp_path_factory):
 @pytest.fixture(scope="session")
 def empty_folder(spark, tmp_path_factory):
     folder = str(tmp_path_factory.mktemp("none"))
-    spark.createDataFrame([], "doc_id long, text string, lang string").write.parquet(f"{folder}/documents.parquet")
+    spark.createDataFrame([], "doc_id long, text string, lang string, source string, n_chars long").write.parquet(f"{folder}/documents.parquet")
     spark.createDataFrame([], "doc_id long, quality int, toxic int").write.parquet(f"{folder}/labels.parquet")
     return folder

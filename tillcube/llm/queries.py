@@ -3,13 +3,16 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from string import ascii_lowercase, ascii_uppercase
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tillcube.llm import (
+    bpe_codec,
     exact_dedup,
     line_dedup,
+    manifest,
     packing,
     piece_viterbi,
     quality_classifier,
@@ -73,6 +76,23 @@ def op10_sentencepiece(spark: SparkSession, folder: str) -> DataFrame:
     return piece_viterbi.encode_and_check(documents(spark, folder))
 
 
+def op11_bpe_automaton(spark: SparkSession, folder: str) -> DataFrame:
+    return bpe_codec.round_trip(documents(spark, folder))
+
+
+def op12_merkle_manifest(spark: SparkSession, folder: str) -> DataFrame:
+    docs = documents(spark, folder)
+    tampered = F.crc32(F.col("doc_id").cast("string").cast("binary")) % 5 == 0
+    lowered = F.translate("text", ascii_uppercase, ascii_lowercase)
+    altered = manifest.leaf(*[lowered if name == "text" else F.col(name) for name in manifest.FIELDS])
+    built = manifest.build(docs, carried={"altered": F.when(tampered, altered)})
+    found = manifest.proofs(built).withColumn("folded_root", manifest.folded(F.coalesce("altered", "leaf"), F.col("siblings")))
+    return found.select(
+        "doc_id", "leaf", "subroot", "root", manifest.proof_digest(F.col("siblings")).alias("proof_sha256"),
+        "folded_root", (F.col("folded_root") == F.col("root")).alias("verified"),
+    )
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_quality_rules": op1_quality_rules,
     "op2_sharding": op2_sharding,
@@ -84,4 +104,6 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_token_files": op8_token_files,
     "op9_token_counts": op9_token_counts,
     "op10_sentencepiece": op10_sentencepiece,
+    "op11_bpe_automaton": op11_bpe_automaton,
+    "op12_merkle_manifest": op12_merkle_manifest,
 }
