@@ -45,6 +45,20 @@ def rows():
     return [(doc_id, text, *filler) for doc_id, text in found]
 
 
+VECTORS = "vec_id long, embedding array<float>, label int, key long, block long, anchor long"
+
+
+def vectors():
+    """Vectors with missing and undefined parts, copies, ties, ids that repeat, and lengths that differ."""
+    draw = random.Random(11)
+    found = [(at, [draw.choice([-0.5, 0.25, 0.5, 1.0]) for _ in range(6)], at % 3) for at in range(420)]
+    found += [(1000 + at, [0.5, 0.5, 0.5, 0.5, 0.25, at % 2 / 256], 1 if at % 4 else 2) for at in range(300)]
+    found += [(50, None, 1), (100, [0.5, None, 0.5], 1), (150, [float("nan")] * 6, 1), (200, [float("inf")] * 6, 2)]
+    found += [(250, [0.5] * 6, None), (None, [1.0] * 6, 1), (300, [0.5] * 6, 0), (300, [0.5] * 6, 0), (300, [-0.5] * 6, 1)]
+    found += [(350, [], 1), (400, [0.75], 2), (450, [0.001, -0.001, 0.3, 0.7, 0.1, 0.9, 0.4], 2), (500, [0.0] * 6, 2)]
+    return [(*row, 1, 2, 3) for row in found]
+
+
 def words(text):
     return [word for word in re.split(BLANK, text or "") if word]
 

@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from tillcube.llm import (
     bpe_codec,
     exact_dedup,
+    hard_negatives,
     line_dedup,
     manifest,
     packing,
@@ -23,7 +24,7 @@ from tillcube.llm import (
     token_files,
 )
 from tillcube.llm.statistics import statistics_of
-from tillcube.llm.tables import documents, labels
+from tillcube.llm.tables import documents, embeddings, labels
 from tillcube.sources.shared import new_path
 
 TOKEN_LIMIT = 1024
@@ -93,6 +94,12 @@ def op12_merkle_manifest(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def op13_hard_negatives(spark: SparkSession, folder: str) -> DataFrame:
+    rows = embeddings(spark, folder)
+    label = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    return hard_negatives.mine(rows, F.col("vec_id") % 50 == 0, label)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_quality_rules": op1_quality_rules,
     "op2_sharding": op2_sharding,
@@ -106,4 +113,5 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op10_sentencepiece": op10_sentencepiece,
     "op11_bpe_automaton": op11_bpe_automaton,
     "op12_merkle_manifest": op12_merkle_manifest,
+    "op13_hard_negatives": op13_hard_negatives,
 }

@@ -10,4 +10,25 @@ ORACLE_SQL: dict[str, str] = {
         from (select doc_id, regexp_replace(coalesce(text, ''), '[\x20\x09-\x0D]+', ' ', 'g') as norm from documents)
         window equal_texts as (partition by norm)
     """,
+    "op13_hard_negatives": """
+        with points as (
+          select row_number() over () as key, vec_id, case when vec_id % 7 = 0 then (label + 1) % 10 else label end as label,
+                 list_transform(embedding, lambda x: floor(256 * cast(x as double))) as vector
+          from embeddings
+          where label is not null and vec_id is not null and embedding is not null
+            and len(list_filter(embedding, lambda x: x is null or not isfinite(x))) = 0),
+        scores as (
+          select a.key as anchor, a.vec_id as anchor_id, b.key, b.vec_id, a.label = b.label as same,
+                 cast(list_inner_product(a.vector, b.vector) as bigint) as score
+          from points a join points b on a.vec_id % 50 = 0 and a.key <> b.key),
+        positives as (
+          select anchor, anchor_id, key as positive, vec_id as positive_id, score as positive_score from scores where same
+          qualify row_number() over (partition by anchor order by score desc, vec_id, key) <= 5)
+        select anchor_id, positive_id,
+               cast(row_number() over (partition by anchor, positive order by score desc, vec_id, key) as integer) as rank,
+               vec_id as negative_id, positive_score, score as negative_score
+        from positives join scores using (anchor, anchor_id)
+        where not same and 50 * positive_score <= 100 * score and 100 * score <= 95 * positive_score
+        qualify rank <= 3
+    """,
 }

@@ -26,6 +26,10 @@ def labels(spark, folder: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/labels.parquet")
 
 
+def embeddings(spark, folder: str) -> DataFrame:
+    return spark.read.parquet(f"{folder}/embeddings.parquet")
+
+
 def packed(docs: DataFrame) -> DataFrame:
     """Every column of ``docs`` inside one struct ``row``, so that no name can clash with a column
     that an operator adds."""
