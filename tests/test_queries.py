@@ -3,7 +3,7 @@
 import re
 
 import pytest
-from compare import connect, duckdb_rows, spark_rows
+from compare import connect, duckdb_rows, executed_plans, spark_rows
 
 from __spark_entry__ import entry, oracle_sql, queries
 from tillcube.plans.catalog import QUERIES
@@ -29,23 +29,6 @@ def check_shape(plan):
         assert " ASC" not in first and " DESC" not in first or first.startswith("_partition#")
 
 
-def executed_plans(spark, action):
-    """What ``action`` returns, and the plan of every query that ran meanwhile, those behind writes too."""
-    store = spark._jsparkSession.sharedState().statusStore()
-
-    def executions():
-        spark._jsc.sc().listenerBus().waitUntilEmpty()
-        found = store.executionsList()
-        return {found.apply(at).executionId(): found.apply(at) for at in range(found.size())}
-
-    before = max(executions(), default=-1)
-    result = action()
-    after = {number: found for number, found in executions().items() if number > before}
-    # Spark keeps a number of executions and forgets the oldest; their numbers have no gaps.
-    assert sorted(after) == list(range(before + 1, before + 1 + len(after))), "a plan is lost"
-    return result, [found.physicalPlanDescription() for found in after.values()]
-
-
 def test_the_check_sees_what_is_written_on_the_way(spark):
     def planted():
         return materialize(spark.range(3).crossJoin(spark.range(2).toDF("other")), "planted")

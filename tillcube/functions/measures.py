@@ -27,11 +27,11 @@ def line_value(quantity: Column, unit_price: Column) -> Column:
 
 
 def gross_part(value: Column) -> Column:
-    return F.when(value > 0, value).otherwise(F.lit(0).cast("decimal(14,4)"))
+    return F.when(value > 0, value).otherwise(F.lit(0))
 
 
 def return_part(value: Column) -> Column:
-    return F.when(value < 0, value).otherwise(F.lit(0).cast("decimal(14,4)"))
+    return F.when(value < 0, value).otherwise(F.lit(0))
 
 
 def business_key(customer_id: Column, country: Column) -> Column:

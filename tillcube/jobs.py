@@ -19,6 +19,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tillcube.functions.calendar import with_calendar
+from tillcube.functions.money import without_lanes
 from tillcube.operators import align, compare, narrow, profile, reports
 from tillcube.operators.align import Source
 from tillcube.operators.cleaning import RULES, clean, preparation_report, quality_counters, removal_funnel, with_value
@@ -114,7 +115,7 @@ def sales_job(sources: Sequence[Source], options: argparse.Namespace) -> Result:
     stacked = materialize(align.stack_sources(sources, fill_missing=False), "stacked_sources")
     results = sales_pack.build_reports(stacked)
     results["removal_funnel"] = removal_funnel(stacked, RULES["analysis"])
-    results["sample"] = sinks.first_rows(sales_pack.analysis_lines(stacked), 1000)
+    results["sample"] = sinks.first_rows(without_lanes(sales_pack.analysis_lines(stacked)), 1000)
     return Result(reports=results)
 
 

@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 from tillcube.contract import LINEAGE, UNKNOWN_COUNTRY, UNKNOWN_PRODUCT
 from tillcube.functions import measures
 from tillcube.functions.filters import all_known
+from tillcube.functions.money import exact_sum, with_lanes
 from tillcube.operators.dedup import count_copies, first_by_rank
 
 TEXT_COLUMNS = ("invoice_no", "stock_code", "description", "country")
@@ -56,7 +57,7 @@ def fill_defaults(lines: DataFrame) -> DataFrame:
     return lines.fillna({"description": UNKNOWN_PRODUCT, "country": UNKNOWN_COUNTRY})
 
 
-def _before_rules(lines: DataFrame, rules: Rules) -> DataFrame:
+def before_rules(lines: DataFrame, rules: Rules) -> DataFrame:
     if rules.trim:
         lines = lines.withColumns({name: F.trim(F.col(name)) for name in TEXT_COLUMNS})
     return fill_defaults(lines) if rules.defaults == "first" else lines
@@ -87,7 +88,7 @@ def first_violation(rules: Rules) -> Column:
     return label
 
 
-def _identity(lines: DataFrame) -> list[str]:
+def identity(lines: DataFrame) -> list[str]:
     """The columns that make two lines the same: all but the lineage."""
     return [name for name in lines.columns if name not in LINEAGE]
 
@@ -95,19 +96,24 @@ def _identity(lines: DataFrame) -> list[str]:
 def drop_duplicates(lines: DataFrame) -> DataFrame:
     """One line of each group of equal ones; of several sources the first one is kept."""
     if "source_rank" in lines.columns:
-        return first_by_rank(lines, _identity(lines), "source_rank")
+        return first_by_rank(lines, identity(lines), "source_rank")
     return lines.distinct()
 
 
+def kept_by(lines: DataFrame, rules: Rules) -> DataFrame:
+    """The lines that meet every condition of the rules."""
+    for _, condition in _conditions(rules):
+        lines = lines.where(condition)
+    return lines
+
+
 def clean(lines: DataFrame, rules: Rules) -> DataFrame:
     """Apply a rule set to typed lines.
 
     The filters need no shuffle and reach the scan; removing duplicates takes one shuffle, with
     equal lines collapsed before it. Of the lineage only ``source_rank`` outlives that step.
     """
-    lines = _before_rules(lines, rules)
-    for _, condition in _conditions(rules):
-        lines = lines.where(condition)
+    lines = kept_by(before_rules(lines, rules), rules)
     if rules.drop_duplicates:
         lines = drop_duplicates(lines)
     return fill_defaults(lines) if rules.defaults == "last" else lines
@@ -127,12 +133,12 @@ def _collapsed(lines: DataFrame, rules: Rules) -> DataFrame:
     Whole rows include the lineage, duplicates for cleaning do not; with one source both agree and
     a single aggregate is enough.
     """
-    lines = _before_rules(lines, rules)
+    lines = before_rules(lines, rules)
     rows = count_copies(lines)
-    identity = _identity(lines)
-    if len(identity) == len(lines.columns):
+    names = identity(lines)
+    if len(names) == len(lines.columns):
         return rows.withColumn("repeats", F.col("copies") - 1)
-    return rows.groupBy(*identity).agg(
+    return rows.groupBy(*names).agg(
         F.sum("copies").alias("copies"), F.sum(F.col("copies") - 1).alias("repeats")
     )
 
@@ -143,10 +149,15 @@ def quality_counters(lines: DataFrame, rules: Rules) -> DataFrame:
     The lines are first collapsed to distinct ones with their number of copies, which the
     duplicate counters need anyway; every other counter is a weighted sum over those.
     """
+    return counters(_collapsed(lines, rules), rules)
+
+
+def counters(collapsed: DataFrame, rules: Rules) -> DataFrame:
+    """The quality counters of distinct lines with their ``copies`` and ``repeats``."""
     kept = first_violation(rules).isNull()
     any_case = rules.cancelled == "any_case"
     after = F.count_if(kept).cast("bigint") if rules.drop_duplicates else _rows_where(kept)
-    report = _collapsed(lines, rules).agg(
+    report = collapsed.agg(
         _rows_where(F.lit(True)).alias("rows_before"),
         _rows_where(F.col("customer_id").isNull()).alias("missing_customer_id"),
         _rows_where(measures.is_cancelled(F.col("invoice_no"), any_case)).alias("cancelled_invoices"),
@@ -162,7 +173,7 @@ def quality_counters(lines: DataFrame, rules: Rules) -> DataFrame:
 def preparation_report(lines: DataFrame, rules: Rules) -> DataFrame:
     """Lines before and after the rules, duplicates left alone: one scan, in which no line is moved."""
     kept = first_violation(rules).isNull()
-    report = _before_rules(lines, rules).agg(
+    report = before_rules(lines, rules).agg(
         F.count("*").alias("rows_before"), F.count_if(kept).cast("bigint").alias("rows_after")
     )
     return report.withColumn("rows_removed", F.col("rows_before") - F.col("rows_after"))
@@ -174,11 +185,16 @@ def removal_funnel(lines: DataFrame, rules: Rules) -> DataFrame:
     Each line belongs to the first rule it breaks. Duplicates come last, among the kept lines. The
     last row is the total value of what remains.
     """
-    broken = first_violation(rules)
-    collapsed = _collapsed(lines, rules).withColumn("broken", broken)
+    return funnel(_collapsed(lines, rules), rules)
+
+
+def funnel(collapsed: DataFrame, rules: Rules) -> DataFrame:
+    """The removal funnel of distinct lines with their ``copies``."""
+    collapsed = collapsed.withColumn("broken", first_violation(rules))
     kept = F.col("broken").isNull()
-    weight = F.lit(1) if rules.drop_duplicates else F.col("copies")
-    value = measures.line_value(F.col("quantity"), F.col("unit_price")) * weight
+    collapsed = with_lanes(with_value(collapsed, "value"), "value")
+    weight = F.lit(1).cast("bigint") if rules.drop_duplicates else F.col("copies")
+    value = exact_sum(collapsed, "value", F.when(kept, weight))
     removed = [
         _rows_where(F.col("broken") == name).alias(f"removed_{name}") for name, _ in _conditions(rules)
     ]
@@ -189,7 +205,7 @@ def removal_funnel(lines: DataFrame, rules: Rules) -> DataFrame:
         _rows_where(F.lit(True)).alias("rows_before"),
         *removed,
         F.coalesce(F.sum(F.when(kept, weight)), F.lit(0)).alias("rows_after"),
-        F.coalesce(F.sum(F.when(kept, value)), F.lit(0)).alias("total_value"),
+        value.alias("total_value"),
     )
     as_double = [F.col(name).cast("double").alias(name) for name in counters.columns]
     return counters.select(*as_double).unpivot([], counters.columns, "step", "value")

@@ -13,14 +13,20 @@ from tillcube.sources.shared import materialize
 POSITION_BITS = 33
 
 
+# Copies of a row that one generated array holds.
+RUN = 4_096
+
+
 def number_rows(
     df: DataFrame, name: str, order_by: Sequence[str] | None = None, repeated: bool = False
 ) -> DataFrame:
     """Put a column ``name`` with 1..n in front.
 
     With ``order_by`` the numbers follow that order, as a row number over the whole table would.
-    Spark's range partitioning does the sort. Rows may tie if ``repeated`` says so: they are then
-    told apart by a stored position, so any number of equal rows spreads over several ranges.
+    Spark's range partitioning does the sort. Rows may tie if ``repeated`` says so: equal rows are then counted, and only
+    distinct rows are dealt out and sorted (by ``order_by``, then by the other columns), so that a row with any number of
+    copies is one row until the copies get their numbers, one after the other. The numbers depend on the rows alone:
+    a second run, or a task that runs again, gives every row the same ones.
 
     Without an order the numbers follow the partitions as they are read and nothing is shuffled,
     which is what a fact table needs: its row id has to be dense and unique, nothing more.
@@ -32,10 +38,12 @@ def number_rows(
     columns = df.columns
     ordering = list(order_by or [])
     if ordering and repeated:
-        df = materialize(df.withColumn("_tie", F.monotonically_increasing_id()), f"{name}_ties")
-        ordering.append("_tie")
+        df = df.groupBy(*columns).agg(F.count("*").alias("_copies"))
+        ordering += [column for column in columns if column not in ordering]
     if ordering:
         df = df.orderBy(*[F.col(column).asc_nulls_last() for column in ordering])
+    if ordering and repeated:
+        df = expanded(df, columns)
     staged = materialize(df.select(*columns, F.monotonically_increasing_id().alias("_at")), name)
     partition = F.shiftright("_at", POSITION_BITS)
     position = F.col("_at") - F.shiftleft(partition, POSITION_BITS)
@@ -48,3 +56,10 @@ def number_rows(
         .select((F.col("_offset") + position + 1).alias(name), *columns)
     )
 
+
+def expanded(counted: DataFrame, columns: Sequence[str]) -> DataFrame:
+    """Each row as often as ``_copies`` says, where it lies. Runs of copies come first, so that no array is long."""
+    runs = F.explode(F.sequence(F.lit(0).cast("bigint"), (F.col("_copies") - 1).cast("bigint"), F.lit(RUN).cast("bigint")))
+    left = F.least(F.col("_copies") - F.col("_run"), F.lit(RUN)).cast("int")
+    many = counted.select(*columns, "_copies", runs.alias("_run"))
+    return many.select(*columns, F.explode(F.sequence(F.lit(1), left)).alias("_copy")).select(*columns)

@@ -10,13 +10,14 @@ from pyspark.sql import functions as F
 
 from tillcube.functions.filters import with_known
 from tillcube.functions.measures import total
+from tillcube.functions.money import exact_sum, exact_sum_where, has_lanes, with_lanes
 
 MONTHS = tuple(range(1, 13))
 
 
 def totals_by(df: DataFrame, keys: Sequence[str], measures: Sequence[str]) -> DataFrame:
     """Sum of each measure per key; rows without a key form no group."""
-    return with_known(df, keys).groupBy(*keys).agg(*[total(F.col(name)).alias(name) for name in measures])
+    return with_known(df, keys).groupBy(*keys).agg(*[exact_sum(df, name).alias(name) for name in measures])
 
 
 def rows_by(df: DataFrame, keys: Sequence[str], name: str) -> DataFrame:
@@ -58,8 +59,8 @@ def cross_tab(
     Pass ``values`` where the members are known; otherwise Spark looks them up in a job of its own
     and refuses when there are too many of them to be columns.
     """
-    known = with_known(df, [row, column])
-    pivoted = known.groupBy(row).pivot(column, list(values) if values else None).agg(F.sum(measure))
+    sums = totals_by(df, [row, column], [measure])
+    pivoted = sums.groupBy(row).pivot(column, list(values) if values else None).agg(F.sum(measure))
     cells = {name: F.coalesce(F.col(f"`{name}`"), F.lit(0)) for name in pivoted.columns if name != row}
     return pivoted.withColumns(cells)
 
@@ -109,7 +110,19 @@ def merged_ranking(lists: Sequence[DataFrame], on: str, measure: str, count: int
 
 
 def net_gross_returns(df: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """Net sales, gross sales, returns and line count per key of a fact with signed measures."""
+    """Net sales, gross sales, returns and line count per key of a fact with signed measures.
+
+    A fact that has its quantity and price is summed by their whole units.
+    """
+    if {"quantity", "unit_price"} <= set(df.columns) and not has_lanes(df, "sales_amount"):
+        df = with_lanes(df, "sales_amount")
+    if has_lanes(df, "sales_amount"):
+        return df.groupBy(*keys).agg(
+            exact_sum(df, "sales_amount").alias("net_sales"),
+            exact_sum_where(df, "sales_amount", lambda value: value > 0).alias("gross_sales"),
+            exact_sum_where(df, "sales_amount", lambda value: value < 0).alias("returns"),
+            F.count("sales_amount").alias("transaction_lines"),
+        )
     return df.groupBy(*keys).agg(
         total(F.col("sales_amount")).alias("net_sales"),
         total(F.col("gross_sales_amount")).alias("gross_sales"),

@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tillcube.contract import COLUMNS, UNKNOWN_PRODUCT
-from tillcube.functions import calendar, measures
+from tillcube.functions import calendar, measures, money
 from tillcube.functions.filters import with_known
 from tillcube.operators import align, cleaning, compare, dedup, history, narrow, numbering, profile, reports, segments
 from tillcube.operators.cleaning import RULES
@@ -176,7 +176,7 @@ def preview_rows(spark: SparkSession, folder: str) -> DataFrame:
 @registered
 def replicate_rows(spark: SparkSession, folder: str) -> DataFrame:
     sales = sinks.replicate(methods.bench_lines(retail_lines(spark, folder)), REPLICAS)
-    sums = [measures.total(F.col(name)).alias(name) for name in olap_pack.MEASURES]
+    sums = [money.exact_sum(sales, name).alias(name) for name in olap_pack.MEASURES]
     return with_known(sales, ["country"]).groupBy("country").agg(
         *sums, F.count_distinct("invoice_no").alias("invoices"), F.count("*").alias("rows_count")
     )
@@ -349,7 +349,7 @@ def high_value_count_by_country(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def _valued(spark: SparkSession, folder: str) -> DataFrame:
-    lines = cleaning.with_value(retail_lines(spark, folder), "total_value")
+    lines = money.with_lanes(cleaning.with_value(retail_lines(spark, folder), "total_value"), "total_value")
     return calendar.with_calendar(lines, "invoice_date", "year")
 
 

@@ -7,9 +7,10 @@ from pyspark.sql import functions as F
 
 from tillcube.functions.calendar import with_calendar
 from tillcube.functions.measures import line_value
-from tillcube.operators.cleaning import RULES, clean, quality_counters
+from tillcube.functions.money import with_lanes
+from tillcube.operators import multiset
+from tillcube.operators.cleaning import RULES, counters
 from tillcube.operators.reports import ranked, totals_by
-from tillcube.sources.shared import materialize
 
 MEASURES = ("revenue", "quantity", "transaction_lines")
 
@@ -23,14 +24,15 @@ def fact_lines(lines: DataFrame) -> DataFrame:
 
 
 def control_totals(facts: DataFrame, *keys: str) -> DataFrame:
-    counted = facts.withColumnRenamed("line_count", "transaction_lines")
+    counted = with_lanes(facts, "revenue").withColumnRenamed("line_count", "transaction_lines")
     return totals_by(counted, keys, MEASURES)
 
 
 def build_fact(lines: DataFrame) -> dict[str, DataFrame]:
-    """``fact_sales`` and the reports about it."""
+    """``fact_sales`` and the reports about it, all from the distinct lines, which are written once."""
     rules = RULES["basic"]
-    facts = materialize(fact_lines(clean(lines, rules)), "fact_lines")
+    rows = multiset.collapse(lines, rules)
+    facts = fact_lines(multiset.kept(rows, rules))
     return {
         "fact_sales": facts.select(
             "invoice_no",
@@ -45,7 +47,7 @@ def build_fact(lines: DataFrame) -> dict[str, DataFrame]:
             "revenue",
             "line_count",
         ),
-        "quality_report": quality_counters(lines, rules),
+        "quality_report": counters(rows, rules),
         "sales_by_country": ranked(control_totals(facts, "country"), "revenue", "country"),
         "sales_by_month": control_totals(facts, "year", "month").orderBy("year", "month"),
     }

@@ -9,13 +9,13 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tillcube.contract import COLUMNS
+from tillcube.operators import multiset
 from tillcube.operators.align import Source, rows_per_source, stack_sources
-from tillcube.operators.cleaning import RULES, clean, quality_counters
+from tillcube.operators.cleaning import RULES, clean, counters
 from tillcube.operators.dedup import duplicate_key_text, duplicate_members, price_conflicts
 from tillcube.operators.numbering import number_rows
 from tillcube.operators.reports import ranked
 from tillcube.plans.etl import control_totals, fact_lines
-from tillcube.sources.shared import materialize
 
 INTEGRATED = RULES["integrated"]
 
@@ -35,14 +35,13 @@ def integrated_lines(sources: Sequence[Source], stacked: DataFrame | None = None
 
     ``stacked`` is the sources' union where the caller has it already.
     """
-    lines = clean(stack_sources(sources) if stacked is None else stacked, INTEGRATED)
-    return lines.withColumns(
-        {
-            "source_system": _by_rank(sources, "system"),
-            "source_sheet": _by_rank(sources, "sheet"),
-            "source_name": _by_rank(sources, "name"),
-        }
-    )
+    return with_lineage(clean(stack_sources(sources) if stacked is None else stacked, INTEGRATED), sources)
+
+
+def with_lineage(lines: DataFrame, sources: Sequence[Source]) -> DataFrame:
+    """Where the source that ``source_rank`` points to came from."""
+    named = {"source_system": "system", "source_sheet": "sheet", "source_name": "name"}
+    return lines.withColumns({column: _by_rank(sources, attribute) for column, attribute in named.items()})
 
 
 def duplicates(stacked: DataFrame, across_sources: bool = False) -> DataFrame:
@@ -52,10 +51,20 @@ def duplicates(stacked: DataFrame, across_sources: bool = False) -> DataFrame:
     return found.withColumn("duplicate_business_key", duplicate_key_text(COLUMNS))
 
 
+def listed_duplicates(rows: DataFrame, sources: Sequence[Source], across_sources: bool = False) -> DataFrame:
+    """The same from distinct lines (see :mod:`tillcube.operators.multiset`)."""
+    found = with_lineage(multiset.repeated(rows, INTEGRATED, across_sources), sources)
+    return found.withColumn("duplicate_business_key", duplicate_key_text(COLUMNS))
+
+
 def integrate(sources: Sequence[Source]) -> dict[str, DataFrame]:
-    """``fact_sales`` and the reports about it. The typed sources are staged once for all of them."""
-    stacked = materialize(stack_sources(sources), "stacked_sources")
-    facts = fact_lines(integrated_lines(sources, stacked)).select(
+    """``fact_sales`` and the reports about it.
+
+    The distinct lines of all sources are written once and answer what is kept, what the counters say and what is listed as
+    a duplicate; whole lines are shuffled for them, and then once more in the order of their numbers.
+    """
+    rows = multiset.collapse(stack_sources(sources), INTEGRATED, len(sources))
+    facts = fact_lines(with_lineage(multiset.kept(rows, INTEGRATED), sources)).select(
         "invoice_no",
         "stock_code",
         "customer_id",
@@ -71,12 +80,14 @@ def integrate(sources: Sequence[Source]) -> dict[str, DataFrame]:
         "source_system",
         "source_sheet",
         "source_name",
+        "description",
     )
-    facts = number_rows(facts, "fact_sales_id", facts.columns, repeated=True)
+    # Distinct lines may differ in nothing but their description, so that no two of these rows are equal.
+    facts = number_rows(facts, "fact_sales_id", facts.columns).drop("description")
     return {
         "fact_sales": facts,
-        "quality_report": quality_counters(stacked, INTEGRATED),
-        "duplicates": duplicates(stacked),
+        "quality_report": counters(rows, INTEGRATED),
+        "duplicates": listed_duplicates(rows, sources),
         "price_conflicts": price_conflicts(facts),
         "sales_by_country": ranked(control_totals(facts, "country"), "revenue", "country"),
         "sales_by_month": control_totals(facts, "year", "month").orderBy("year", "month"),

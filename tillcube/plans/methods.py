@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tillcube.functions.filters import with_known
+from tillcube.functions.money import exact_sum
 from tillcube.operators import reports
 from tillcube.operators.align import stack
 from tillcube.plans.olap_pack import sales_lines
@@ -57,5 +58,5 @@ def pre_keyed(sales: DataFrame) -> DataFrame:
     partition would put a hot country into one task; sums do not grow with a key's lines.
     """
     keys = ("country", "year_month", "customer_id", "invoice_no")
-    sums = sales.groupBy(*keys).agg(F.sum("total_price").alias("total_price"))
+    sums = sales.groupBy(*keys).agg(exact_sum(sales, "total_price").alias("total_price"))
     return materialize(sums, "pre_keyed")

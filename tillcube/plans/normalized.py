@@ -63,10 +63,9 @@ def invoices(lines: DataFrame, entities: dict[str, DataFrame]) -> DataFrame:
 
 def invoice_lines(lines: DataFrame, entities: dict[str, DataFrame]) -> DataFrame:
     detail = look_up(lines, entities["product"], {"stock_code": "stock_code"}, "product_key")
-    detail = detail.select(
-        "invoice_no", "product_key", "quantity", "unit_price", is_return(F.col("quantity")).alias("is_return")
-    )
-    return number_rows(detail, "invoice_line_id", detail.columns, repeated=True)
+    detail = detail.select("invoice_no", "product_key", "quantity", "unit_price")
+    numbered = number_rows(detail, "invoice_line_id", detail.columns, repeated=True)
+    return numbered.withColumn("is_return", is_return(F.col("quantity")))
 
 
 def normalize(lines: DataFrame) -> dict[str, DataFrame]:

@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tillcube.functions.calendar import with_calendar
+from tillcube.functions.money import with_lanes
 from tillcube.operators import reports
 from tillcube.operators.cleaning import RULES, clean, with_value
 from tillcube.sources.shared import materialize
@@ -15,8 +16,9 @@ GRAIN = ("country", "year", "month", "year_month", "stock_code", "description")
 
 
 def sales_lines(lines: DataFrame, rules: str = "olap") -> DataFrame:
-    """Cleaned lines with calendar parts and their value."""
-    return with_value(with_calendar(clean(lines, RULES[rules]), "invoice_date", "year", "month", "day", "year_month"))
+    """Cleaned lines with calendar parts and their value, with the lanes that sums are made from."""
+    dated = with_calendar(clean(lines, RULES[rules]), "invoice_date", "year", "month", "day", "year_month")
+    return with_lanes(with_value(dated), "total_price")
 
 
 def by_year(sales: DataFrame) -> DataFrame:

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from tillcube.functions.calendar import with_calendar
 from tillcube.functions.measures import line_value
+from tillcube.functions.money import with_lanes, without_lanes
 from tillcube.operators.reports import ranked, rows_by, totals_by
 from tillcube.sources.files import read_csv
 
@@ -26,8 +27,8 @@ def with_total_value(orders: DataFrame) -> DataFrame:
 
 
 def build_reports(orders: DataFrame, high_value: int = 1000) -> dict[str, DataFrame]:
-    orders = with_total_value(orders)
-    high = orders.where(F.col("total_value") > high_value)
+    orders = with_lanes(with_total_value(orders), "total_value")
+    high = without_lanes(orders).where(F.col("total_value") > high_value)
     measure = ["total_value"]
     return {
         "total_sales": totals_by(orders, [], measure),

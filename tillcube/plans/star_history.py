@@ -5,7 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tillcube.functions.measures import line_value, total
+from tillcube.functions.measures import line_value
+from tillcube.functions.money import exact_sum, with_lanes
 from tillcube.operators.cleaning import RULES, clean
 from tillcube.operators.history import attach_version, version_history
 from tillcube.operators.numbering import number_rows
@@ -61,23 +62,24 @@ def build_star_history(lines: DataFrame, tracked: str = "country") -> dict[str,
         "country_key",
         "quantity",
         "unit_price",
-        line_value(F.col("quantity"), F.col("unit_price")).alias("revenue"),
-        F.lit(1).alias("line_count"),
     )
+    numbered = number_rows(facts, "sales_key", facts.columns, repeated=True)
+    revenue = line_value(F.col("quantity"), F.col("unit_price"))
     return {
         "dim_country": country,
         "dim_product": product,
         "dim_date": date,
         "dim_invoice": invoice,
         "dim_customer": _named_country(customer, country, tracked),
-        "fact_sales": number_rows(facts, "sales_key", facts.columns, repeated=True),
+        "fact_sales": numbered.withColumns({"revenue": revenue, "line_count": F.lit(1)}),
     }
 
 
 def _sums(fact: DataFrame, key: str) -> DataFrame:
+    fact = with_lanes(fact, "revenue")
     return fact.groupBy(key).agg(
-        total(F.col("revenue")).alias("revenue"),
-        total(F.col("quantity")).alias("quantity"),
+        exact_sum(fact, "revenue").alias("revenue"),
+        exact_sum(fact, "quantity").alias("quantity"),
         F.sum("line_count").alias("lines"),
     )
 
