@@ -39,6 +39,8 @@ LETTERS = "[A-Za-zÀ-ÖØ-öø-ÿ]"
 PLAIN = re.compile(f"{LETTERS}+[.,]?(?:\n{LETTERS}+[.,]?)*")
 WORDS = re.compile(f"{LETTERS}+")
 ATOM = re.compile(f"{LETTERS}+|[.,\n]")
+# A mark that ends a word of letters before a blank. A tokenizer that drops blanks takes it as a word of its own.
+ENDING = "([A-Za-zÀ-ÖØ-öø-ÿ])([.,])( |$)"
 # Marks a part that begins its text, and so has no blank before it.
 FIRST = "\x00"
 MARK, NOTHING = pa.scalar(FIRST, pa.large_string()), pa.scalar("", pa.large_string())
@@ -58,10 +60,12 @@ class SegmentEncoder:
     """
 
     step_bytes = STEP_BYTES
+    spreads = False
 
     def __init__(self, path: str, leading_blank: bool, remembered: int = REMEMBERED):
         self.tokenizer = load(path)
         self.leading_blank = leading_blank
+        self.spreads = not leading_blank
         self.remembered = remembered
         # Ids that begin a word (byte-level, where the blank is written so) or end one.
         names = [self.tokenizer.id_to_token(i) or "" for i in range(self.tokenizer.get_vocab_size())]
@@ -106,14 +110,13 @@ class SegmentEncoder:
     def _atoms(self, key: str) -> list[str]:
         """Keys of the parts of a part that are words to the tokenizer for certain: runs of letters, single marks
         and single line ends between them."""
+        if self.spreads:
+            return [key]
         first = key[:1] == FIRST
         body = key[first:]
         if not PLAIN.fullmatch(body):
             return [key]
         atoms = ATOM.findall(body)
-        if not self.leading_blank:
-            # This tokenizer writes letters small and drops the ends of lines.
-            return [x.lower() for x in atoms if x != "\n"]
         return [atoms[0] if not first else key[:1] + atoms[0], *(FIRST + x for x in atoms[1:])]
 
     def _text(self, key: str) -> str:
@@ -182,9 +185,19 @@ class SegmentEncoder:
         begin[chosen], begin[~chosen] = part_from[:-1], len(part_ids) + other_from[:-1]
         return gathered(np.concatenate([part_ids, other_ids]), begin, lengths)
 
+    def _spread(self, texts: pa.Array) -> pa.Array:
+        """For a tokenizer that drops blanks and writes letters small: the same words, each between blanks, in fewer
+        spellings. Texts that may hold a special string stay as they are."""
+        # The first step copies: ascii_lower gives wrong offsets for a slice of a longer array.
+        plain = pc.ascii_lower(pc.replace_substring(texts, "\n", " "))
+        plain = pc.replace_substring_regex(plain, ENDING, r"\1 \2\3")
+        return pc.if_else(pc.match_substring(texts, "<"), texts, plain)
+
     def _encode_parts(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         if not len(texts):
             return np.zeros(0, np.uint32), np.zeros(1, np.int64)
+        if self.spreads:
+            texts = self._spread(texts)
         lists = pc.split_pattern(texts, " ")
         bounds = np.asarray(lists.offsets)
         parts = lists.flatten()
