@@ -53,6 +53,21 @@ def test_huge_texts_are_spliced(spark, chunk, overlap):
         assert counted[at] == len(plain.encode(text or "", add_special_tokens=False).ids)
 
 
+def test_one_long_text_is_encoded_by_several_tasks(spark):
+    text = " ".join([odd.prose(1, 20_000)] * 120)
+    assert len(text) > 10_000_000
+    docs = spark.createDataFrame([(1, text)], "doc_id long, text string")
+    rows = docs.select("doc_id", F.lit(0).cast("long").alias("row_key"), F.lit(0).cast("long").alias("n_bytes"), "text")
+    cut = token_counts.chunks(rows, token_counts.CHUNK, token_counts.OVERLAP)
+    spread = cut.groupBy(F.spark_partition_id()).count().collect()
+    assert len(spread) == 8 and sum(row["count"] for row in spread) == -(-(len(text) - 512) // (65_536 - 512))
+    again = sorted(cut.collect())
+    assert all(row.text == text[row["at"] : row["at"] + token_counts.CHUNK] for row in again)
+    plain = Tokenizer.from_file(tokenizer_path("byte_bpe_50k.json"))
+    counted = token_counts.counts(docs).first()
+    assert (counted.n_bytes, counted.n_tokens) == (len(text.encode()), len(plain.encode(text, add_special_tokens=False).ids))
+
+
 def test_trees_find_what_comparing_all_finds():
     draw = np.random.default_rng(2)
     prints = np.unique(draw.integers(0, 2**63, 12).repeat(40) ^ (1 << draw.integers(0, 62, 480)) ^ (1 << draw.integers(0, 62, 480)))

@@ -1,7 +1,7 @@
 """Token counts of whole texts; huge documents in overlapping chunks.
 
-A document of more than ``chunk`` characters is cut into chunks that overlap and become rows of their own,
-so that no task holds it whole. Every chunk is encoded with offsets. Two neighbours are spliced at a
+A document of more than ``chunk`` characters is cut, in one pass, into chunks that overlap and become rows of their own;
+they are dealt out by text and place, so that one text is encoded by many tasks. Every chunk is encoded with offsets. Two neighbours are spliced at a
 common boundary in their overlap: a character where in both a new word of the tokenizer's first split begins, well
 before the end of the left chunk. That boundary is stable. The left chunk is right up to it, for a word ends where the
 next character cannot go on with it, which the left chunk saw (and a special string that its end might cut begins
@@ -33,10 +33,13 @@ TOKENIZER = "byte_bpe_50k.json"
 CHUNK = 65_536
 OVERLAP = 512
 WIDEN = 4
+# Chunks of a text that its cutting holds besides it.
+CHUNKS_AT_ONCE = 16
 # Characters before a chunk's end that its encoding may have wrong: the longest special string and one to look ahead.
 MARGIN = 32
 
 COUNTED = "doc_id long, row_key long, n_bytes long, n_tokens long"
+CUT = "doc_id long, row_key long, n_bytes long, at long, last boolean, text string"
 CHUNKED = (
     "doc_id long, row_key long, n_bytes long, at long, last boolean, n_tokens long, "
     "head_at array<long>, head_tokens array<long>, tail_at array<long>, tail_tokens array<long>"
@@ -87,15 +90,31 @@ def _chunk(path: str, overlap: int, batches: Iterator[pa.RecordBatch]) -> Iterat
         )
 
 
-def chunks(docs: DataFrame, chunk: int, overlap: int) -> DataFrame:
-    """Rows of at most ``chunk`` characters from ``at`` on, each overlapping the next."""
+def _cut(chunk: int, overlap: int, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Chunks of every text, a few at a time, in one pass over it."""
     step = chunk - overlap
-    length = F.length("text")
-    begins = F.sequence(F.lit(0).cast("long"), F.greatest(length - overlap - 1, F.lit(0)).cast("long"), F.lit(step).cast("long"))
-    return docs.select("doc_id", "row_key", "n_bytes", "text", length.alias("length"), F.explode(begins).alias("at")).select(
-        "doc_id", "row_key", "n_bytes", "at", (F.col("at") + chunk >= F.col("length")).alias("last"),
-        F.substring("text", F.col("at").cast("int") + 1, F.lit(chunk)).alias("text"),
-    )
+    for batch in batches:
+        for row in range(batch.num_rows):
+            text = batch.column("text")[row].as_py()
+            begins = range(0, max(len(text) - overlap - 1, 0) + 1, step)
+            for first in range(0, len(begins), CHUNKS_AT_ONCE):
+                some = begins[first : first + CHUNKS_AT_ONCE]
+                same = [pa.array([batch.column(x)[row].as_py()] * len(some), pa.int64()) for x in ("doc_id", "row_key", "n_bytes")]
+                own = [
+                    pa.array(list(some), pa.int64()),
+                    pa.array([at + chunk >= len(text) for at in some], pa.bool_()),
+                    pa.array([text[at : at + chunk] for at in some], pa.string()),
+                ]
+                yield pa.RecordBatch.from_arrays([*same, *own], [x.split()[0] for x in CUT.split(", ")])
+
+
+def chunks(docs: DataFrame, chunk: int, overlap: int) -> DataFrame:
+    """Rows of at most ``chunk`` characters from ``at`` on, each overlapping the next, dealt out one by one: those of one
+    text are encoded by as many tasks as there are."""
+    texts = docs.select("doc_id", "row_key", "n_bytes", "text")
+    # A stated number of partitions, for adaptive execution would join them by their bytes, which say little of the work.
+    tasks = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return texts.mapInArrow(partial(_cut, chunk, overlap), CUT).repartition(tasks, "row_key", "at")
 
 
 def splice(encoded: DataFrame) -> DataFrame:
