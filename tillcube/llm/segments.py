@@ -247,5 +247,6 @@ def encoder(path: str, leading_blank: bool) -> SegmentEncoder:
     """The encoder of this worker process."""
     key = (path, leading_blank)
     if key not in _encoders:
-        _encoders[key] = SegmentEncoder(path, leading_blank)
+        # Words written small and set apart come again more often, so fewer need to be remembered.
+        _encoders[key] = SegmentEncoder(path, leading_blank, REMEMBERED if leading_blank else REMEMBERED // 2)
     return _encoders[key]
