@@ -7,7 +7,13 @@ import pytest
 from pyspark.sql import functions as F
 from retail import plain
 
-from tillcube.operators.history import _in_ranges, attach_version, version_history
+from tillcube.operators.history import (
+    _in_ranges,
+    attach_version,
+    attach_version_by_moment,
+    version_history,
+    version_history_with_moments,
+)
 
 START = datetime(2011, 1, 30)
 
@@ -144,3 +150,70 @@ def test_columns_the_facts_have_are_refused(spark):
     rows = [(1, 0, "A")]
     with pytest.raises(ValueError, match="value"):
         attach_version(table(spark, rows), history(spark, rows), ["key"], "at", ["value"])
+
+
+def several(seed, keys=4, count=60):
+    draw = random.Random(seed)
+    return [(draw.choice([*range(keys), None]), draw.randrange(80), draw.choice(["A", "B", None])) for _ in range(count)]
+
+
+@pytest.mark.parametrize("seed", range(3))
+def test_moments_find_the_version_that_holds(spark, ranges, seed):
+    rows = [*several(seed), *((9, at, "A" if at % 30 < 15 else "B") for at in range(60))]
+    df = table(spark, rows)
+    versions, moments = version_history_with_moments(df, ["key"], "value", "at")
+    assert plain(versions) == plain(version_history(df, ["key"], "value", "at"))
+    facts = df.select("key", "at").withColumn("n", F.monotonically_increasing_id())
+    columns = ["value", "valid_from", "current_flag"]
+    swept = attach_version(facts, versions, ["key"], "at", columns)
+    assert plain(attach_version_by_moment(facts, moments, versions, ["key"], "at", columns)) == plain(swept)
+    with pytest.raises(ValueError, match="already have"):
+        attach_version_by_moment(df, moments, versions, ["key"], "at", ["value"])
+
+
+def test_moments_also_agree_in_the_tracked_value(spark):
+    df = table(spark, [(1, 0, "B"), (1, 0, "A"), (1, 1, "B")])
+    versions, moments = version_history_with_moments(df, ["key"], "value", "at")
+    found = attach_version_by_moment(df, moments, versions, ["key"], "at", ["valid_from"], ["value"])
+    assert plain(found, "at", "value", "valid_from") == [
+        (day(0), "A", day(0)), (day(0), "B", None), (day(1), "B", day(1)),
+    ]
+
+
+def versions_table(spark, rows):
+    schema = "key int, name string, valid_from timestamp_ntz, valid_to timestamp_ntz"
+    moments = [(key, name, day(a), None if b is None else day(b)) for key, name, a, b in rows]
+    return spark.createDataFrame(moments, schema)
+
+
+@pytest.mark.parametrize("seed", range(12))
+def test_overlapping_versions_raise_and_others_match_the_interval_join(spark, ranges, seed):
+    draw = random.Random(seed)
+    rows = []
+    for key in range(3):
+        at = 0
+        for number in range(draw.randrange(1, 9)):
+            length = draw.randrange(1, 6)
+            rows.append((key, f"{key}-{number}", at, at + length))
+            at += length + draw.choice([0, 0, 3])
+    if seed % 2:
+        key, _, a, b = draw.choice(rows)
+        # One that begins inside another, at its start, or before others that it never ends for.
+        rows.append(draw.choice([(key, "more", b - 1, b + 1), (key, "more", a, None), (key, "more", a - 5, None)]))
+    versions = versions_table(spark, rows)
+    facts = spark.createDataFrame([(key, day(at)) for key in range(4) for at in range(-2, 45)], "key int, at timestamp_ntz")
+    joined = attach_version(facts, versions, ["key"], "at", ["name"])
+    if seed % 2:
+        with pytest.raises(Exception, match="versions overlap for key"):
+            joined.collect()
+        return
+    inside = (facts["at"] >= versions["valid_from"]) & (facts["at"] < versions["valid_to"])
+    plainly = facts.join(versions, (facts["key"] == versions["key"]) & inside, "left")
+    assert plain(joined) == plain(plainly.select(facts["key"], facts["at"], "name"))
+
+
+def test_versions_that_touch_or_are_empty_do_not_overlap(spark, ranges):
+    rows = [(1, "a", 0, 5), (1, "b", 5, 5), (1, "c", 5, 9), (1, "d", 9, None), (2, "e", 0, None)]
+    facts = spark.createDataFrame([(1, day(5)), (1, day(9)), (2, day(7))], "key int, at timestamp_ntz")
+    found = attach_version(facts, versions_table(spark, rows), ["key"], "at", ["name"])
+    assert plain(found, "name") == [("c",), ("d",), ("e",)]

@@ -1,10 +1,13 @@
 """Every job from files to files."""
 
+import os
+
 import pytest
 from retail import plain
 
 from tillcube import jobs
-from tillcube.sources import files
+from tillcube.sources import files, shared, sinks
+from tillcube.sources.warehouse import current_set, write_set
 
 HEADER = "InvoiceNo,StockCode,Description,Quantity,InvoiceDate,UnitPrice,CustomerID,Country\n"
 SECOND_HEADER = "Invoice,StockCode,Description,Quantity,InvoiceDate,Price,Customer ID,Country\n"
@@ -35,10 +38,20 @@ def inputs(tmp_path_factory):
     return folder
 
 
+@pytest.fixture(autouse=True)
+def own_shared_folder(spark, tmp_path, monkeypatch):
+    """A shared folder for each test, so that what is left in it shows."""
+    os.mkdir(tmp_path / "shared")
+    monkeypatch.setattr(shared, "shared_folder", lambda _: str(tmp_path / "shared"))
+
+
 @pytest.mark.parametrize("job", sorted(jobs.JOBS))
 def test_job(spark, inputs, folder, job):
     arguments = ["--source", f"{inputs}/store.csv", "--output", folder, "--country", "France", "--year", "2010"]
     jobs.run(spark, [job, *arguments, "--parts", f"{inputs}/book"])
+    written = current_set(spark, folder)
+    folder = written.folder
+    assert set(written.tables) >= TABLES.get(job, set()) and not os.listdir(shared.shared_folder(spark))
     for table in TABLES.get(job, ()):
         assert spark.read.parquet(f"{folder}/tables/{table}").columns
     if job == "integrate":
@@ -66,3 +79,42 @@ def test_job(spark, inputs, folder, job):
 def test_job_needs_input(spark, folder):
     with pytest.raises(SystemExit):
         jobs.run(spark, ["star", "--output", folder])
+
+
+def test_a_second_run_takes_the_place_of_the_first(spark, inputs, folder):
+    arguments = ["star", "--source", f"{inputs}/store.csv", "--output", folder]
+    jobs.run(spark, arguments)
+    first = current_set(spark, folder)
+    jobs.run(spark, arguments)
+    second = current_set(spark, folder)
+    assert first.folder != second.folder and first.tables == second.tables and second.tables["fact_sales"] == 5
+    assert os.listdir(f"{folder}/sets") == [second.folder.rsplit("/", 1)[1]]
+
+
+def test_a_killed_run_leaves_the_last_whole_set(spark, folder, monkeypatch):
+    tables = {"a": spark.range(3), "b": spark.range(5)}
+    reports = {"c": spark.range(2)}
+    with pytest.raises(FileNotFoundError):
+        current_set(spark, folder)
+    write_set(spark, folder, tables, reports)
+    kept = current_set(spark, folder)
+
+    def killed(*_):
+        raise KeyboardInterrupt
+
+    monkeypatch.setattr("tillcube.sources.warehouse.write_csv", killed)
+    with pytest.raises(KeyboardInterrupt):
+        write_set(spark, folder, {"a": spark.range(9), "b": spark.range(9)}, reports)
+    assert current_set(spark, folder) == kept and len(os.listdir(f"{folder}/sets")) == 2
+    assert spark.read.parquet(kept.table_path("a")).count() == 3
+    monkeypatch.setattr("tillcube.sources.warehouse.write_csv", sinks.write_csv)
+    write_set(spark, folder, {"a": spark.range(9)}, {})
+    final = current_set(spark, folder)
+    assert final.tables == {"a": 9} and final.reports == () and len(os.listdir(f"{folder}/sets")) == 1
+
+
+def test_a_job_that_fails_removes_what_it_wrote(spark, inputs, folder, monkeypatch):
+    monkeypatch.setattr("tillcube.jobs.write_set", lambda *_: 1 / 0)
+    with pytest.raises(ZeroDivisionError):
+        jobs.run(spark, ["star", "--source", f"{inputs}/store.csv", "--output", folder])
+    assert os.listdir(shared.shared_folder(spark)) == []

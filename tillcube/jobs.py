@@ -3,6 +3,9 @@
     python -m tillcube.jobs star --source shop.csv --output out
     python -m tillcube.jobs integrate --source shop.csv --parts workbook --output out
 
+A job that is run again into the same folder replaces what is there as a whole; ``warehouse.current_set`` tells where the
+tables and reports of the last run that ended lie. What a job writes on the way is removed when it ends.
+
 ``--source`` is a CSV or Parquet file or directory, ``--parts`` a folder with one directory per
 sheet; both may be repeated, and earlier ones win where lines are equal.
 """
@@ -26,7 +29,8 @@ from tillcube.operators.cleaning import RULES, clean, preparation_report, qualit
 from tillcube.plans import etl, integration, methods, normalized, olap_pack, order_file, sales_pack, star, star_history
 from tillcube.session import build_session
 from tillcube.sources import files, sinks
-from tillcube.sources.shared import materialize
+from tillcube.sources.shared import job, materialize
+from tillcube.sources.warehouse import write_set
 
 
 @dataclass
@@ -196,14 +200,13 @@ def run(spark: SparkSession, arguments: Sequence[str]) -> None:
     options = parser.parse_args(arguments)
     if not options.source and not options.parts:
         parser.error("give at least one --source or --parts")
-    if options.job == "orders":
-        orders = align.stack([order_file.read_orders(spark, path) for path in options.source])
-        result = Result(reports=order_file.build_reports(orders))
-    else:
-        result = JOBS[options.job](read_sources(spark, options.source, options.parts), options)
-    sinks.write_warehouse(result.tables, f"{options.output}/tables", result.layout)
-    for name, report in result.reports.items():
-        sinks.write_csv(report, f"{options.output}/reports/{name}")
+    with job(spark):
+        if options.job == "orders":
+            orders = align.stack([order_file.read_orders(spark, path) for path in options.source])
+            result = Result(reports=order_file.build_reports(orders))
+        else:
+            result = JOBS[options.job](read_sources(spark, options.source, options.parts), options)
+        write_set(spark, options.output, result.tables, result.reports, result.layout)
 
 
 def main() -> None:

@@ -73,12 +73,79 @@ def version_history(df: DataFrame, key: Sequence[str], tracked: str, at: str) ->
     key touch without gaps or overlaps, and none is empty.
     """
     moments = _in_ranges(one_value_per_moment(df, key, tracked, at), key, at, "moments")
+    return _versions(moments, key, tracked, at)
+
+
+def _versions(moments: DataFrame, key: Sequence[str], tracked: str, at: str) -> DataFrame:
     versions = _joined_runs(moments, key, tracked, at).select(
         *key, tracked, F.col(at).alias("valid_from"), "valid_to"
     )
     return versions.withColumn("current_flag", F.col("valid_to").isNull())
 
 
+def version_history_with_moments(
+    df: DataFrame, key: Sequence[str], tracked: str, at: str
+) -> tuple[DataFrame, DataFrame]:
+    """The history, and each of its moments with the ``valid_from`` of the version that holds then.
+
+    Both read one layout of the time line by ranges, so facts that the history was built from find their versions
+    without being dealt out and swept again.
+    """
+    moments = _in_ranges(one_value_per_moment(df, key, tracked, at), key, at, "moments")
+    return _versions(moments, key, tracked, at), _run_starts(moments, key, tracked, at)
+
+
+def _run_starts(moments: DataFrame, key: Sequence[str], tracked: str, at: str) -> DataFrame:
+    """Key, moment and tracked value, and where the run of equal values began that the moment is in: in its range, or
+    in an earlier one that the range goes on with."""
+    group = [*key, "_range"]
+    line = Window.partitionBy(*group).orderBy(at)
+    marked = moments.withColumns({"_first": F.row_number().over(line) == 1, "_previous": F.lag(tracked).over(line)})
+    begins = ~F.col("_first") & ~F.col("_previous").eqNullSafe(F.col(tracked))
+    marked = marked.withColumn("_begin", F.when(begins, F.col(at))).drop("_previous")
+    value = F.struct(F.col(tracked).alias("value"))
+    ranges = marked.groupBy(*group).agg(
+        F.min_by(value, at).alias("_head"),
+        F.max_by(value, at).alias("_tail"),
+        F.min(at).alias("_head_at"),
+        F.max("_begin").alias("_last_begin"),
+    )
+    forwards = Window.partitionBy(*key).orderBy("_range")
+    ranges = ranges.withColumn("_goes_on", F.lag("_tail").over(forwards).eqNullSafe(F.col("_head")))
+    opened = F.when(~F.col("_goes_on"), F.col("_head_at"))
+    ranges = ranges.withColumn("_latest", F.coalesce("_last_begin", opened))
+    earlier = forwards.rowsBetween(Window.unboundedPreceding, -1)
+    heads = ranges.select(*group, F.coalesce(opened, F.last("_latest", ignorenulls=True).over(earlier)).alias("_from"))
+    so_far = line.rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    inside = marked.withColumn("_begin", F.last("_begin", ignorenulls=True).over(so_far))
+    return inside.join(heads, group).select(*key, at, tracked, F.coalesce("_begin", "_from").alias("valid_from"))
+
+
+def attach_version_by_moment(
+    facts: DataFrame,
+    moments: DataFrame,
+    versions: DataFrame,
+    key: Sequence[str],
+    at: str,
+    columns: Sequence[str],
+    same: Sequence[str] = (),
+) -> DataFrame:
+    """Left-join to each fact the ``columns`` of the version valid at its moment, for facts whose moments the history was
+    built from (``moments``, as :func:`version_history_with_moments` gives them).
+
+    Only facts that also agree with the moment in the columns ``same`` (such as the tracked value) find a version.
+    """
+    clash = set(columns) & set(facts.columns)
+    if clash:
+        raise ValueError(f"the facts already have columns {sorted(clash)}")
+    wanted = versions.select(*key, "valid_from", *[F.col(name).alias(f"_found_{name}") for name in columns])
+    found = moments.join(wanted, [*key, "valid_from"])
+    names = [*key, at, *same]
+    found = found.select(*[F.col(name).alias(f"_{name}") for name in names], *[f"_found_{name}" for name in columns])
+    joined = facts.join(found, [F.col(name) == F.col(f"_{name}") for name in names], "left")
+    return joined.select(*facts.columns, *[F.col(f"_found_{name}").alias(name) for name in columns])
+
+
 def _latest(line: DataFrame, key: Sequence[str], at: str, value: str) -> DataFrame:
     """Replace ``value`` by the key's latest non-null one at or before each row's moment: looked for in
     the row's range, then carried from an earlier one."""
@@ -92,13 +159,38 @@ def _latest(line: DataFrame, key: Sequence[str], at: str, value: str) -> DataFra
     return inside.join(carried, group).withColumn(value, F.coalesce(value, "_carried")).drop("_range", "_carried")
 
 
+# After every moment: the end of a version that is still valid.
+NEVER = "9999-12-31 23:59:59.999999"
+
+
+def _without_overlaps(line: DataFrame, key: Sequence[str], at: str, version: str, until: str) -> DataFrame:
+    """Raise an error where a version begins before one that began earlier in its key has ended.
+
+    The latest end so far is looked for in the row's range, then carried from earlier ones.
+    """
+    group = [*key, "_range"]
+    end = F.when(F.col(version).isNotNull(), F.coalesce(until, F.lit(NEVER).cast("timestamp_ntz")))
+    line = line.withColumn("_end", end)
+    earlier = Window.partitionBy(*key).orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)
+    ends = line.groupBy(*group).agg(F.max("_end").alias("_range_end"))
+    carried = ends.select(*group, F.max("_range_end").over(earlier).alias("_carried_end"))
+    before = Window.partitionBy(*group).orderBy(at).rowsBetween(Window.unboundedPreceding, -1)
+    latest = F.greatest(F.max("_end").over(before), F.col("_carried_end"))
+    joined = line.join(carried, group).withColumn("_latest_end", latest)
+    named = F.concat_ws(", ", *[F.col(name).cast("string") for name in key])
+    error = F.raise_error(F.concat(F.lit("versions overlap for key "), named, F.lit(" at "), F.col(at).cast("string")))
+    overlaps = F.col(version).isNotNull() & (F.col("_latest_end") > F.col(at))
+    checked = F.when(overlaps, error).otherwise(F.col(version))
+    return joined.withColumn(version, checked).drop("_end", "_carried_end", "_latest_end")
+
+
 def attach_version(
     facts: DataFrame, versions: DataFrame, key: Sequence[str], at: str, columns: Sequence[str]
 ) -> DataFrame:
     """Left-join to each fact the ``columns`` of the version valid at its moment.
 
-    A version is valid from ``valid_from`` on and before ``valid_to`` (null: still valid); versions
-    of one key must not overlap, and the facts must not have the columns yet. The version is looked up
+    A version is valid from ``valid_from`` on and before ``valid_to`` (null: still valid). Versions of one key that
+    overlap raise an error that names the key, for a fact would have several. The facts must not have the columns yet. The version is looked up
     once per distinct key and moment by sweeping both along the time line, so facts and versions of a
     key are never paired with each other, and the facts join on key and moment, which spreads a hot key
     over its moments.
@@ -107,13 +199,17 @@ def attach_version(
     if clash:
         raise ValueError(f"the facts already have columns {sorted(clash)}")
     moments = with_known(facts, [*key, at]).select(*key, F.col(at).alias("_moment")).distinct()
-    starts = with_known(versions, [*key, "valid_from"]).select(
+    # A version that ends where it begins holds at no moment.
+    lasting = versions.where(F.col("valid_to").isNull() | (F.col("valid_to") > F.col("valid_from")))
+    starts = with_known(lasting, [*key, "valid_from"]).select(
         *key,
         F.col("valid_from").alias("_moment"),
         F.struct(F.col("valid_to").alias("_until"), *columns).alias("_version"),
     )
     line = moments.withColumn("_fact", F.lit(True)).unionByName(starts, allowMissingColumns=True)
-    found = _latest(_in_ranges(line, key, "_moment", "time_line"), key, "_moment", "_version")
+    dealt = _in_ranges(line, key, "_moment", "time_line")
+    checked = _without_overlaps(dealt, key, "_moment", "_version", "_version._until")
+    found = _latest(checked, key, "_moment", "_version")
     until = F.col("_version._until")
     valid = F.col("_fact") & F.col("_version").isNotNull() & (until.isNull() | (F.col("_moment") < until))
     found = found.where(valid).select(

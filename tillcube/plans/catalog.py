@@ -712,9 +712,9 @@ def scd2_history(spark: SparkSession, folder: str) -> DataFrame:
 def scd2_interval_join(spark: SparkSession, folder: str) -> DataFrame:
     """Composite key: the user and the tracked value, so versions of a key leave gaps."""
     events = load_table(spark, folder, "events").select("event_id", "user_id", "event_type", "ts")
-    versions = history.version_history(events, ["user_id"], "event_type", "ts")
-    key = ["user_id", "event_type"]
-    return history.attach_version(events, versions, key, "ts", ["valid_from", "current_flag"])
+    versions, moments = history.version_history_with_moments(events, ["user_id"], "event_type", "ts")
+    columns = ["valid_from", "current_flag"]
+    return history.attach_version_by_moment(events, moments, versions, ["user_id"], "ts", columns, ["event_type"])
 
 
 @registered

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from tillcube.functions.measures import line_value
 from tillcube.functions.money import exact_sum, with_lanes
 from tillcube.operators.cleaning import RULES, clean
-from tillcube.operators.history import attach_version, version_history
+from tillcube.operators.history import attach_version_by_moment, version_history, version_history_with_moments
 from tillcube.operators.numbering import number_rows
 from tillcube.operators.reports import ranked
 from tillcube.plans.dimensions import (
@@ -46,9 +46,10 @@ def build_star_history(lines: DataFrame, tracked: str = "country") -> dict[str,
     product = product_dimension(lines)
     date = date_dimension(lines, "year", "quarter", "month", "day", "weekday")
     invoice = invoice_dimension(lines)
-    customer = customer_history(lines, tracked)
+    versions, moments = version_history_with_moments(lines, ["customer_id"], tracked, "invoice_date")
+    customer = number_rows(versions, "customer_key", ["customer_id", "valid_from"])
 
-    facts = attach_version(lines, customer, ["customer_id"], "invoice_date", ["customer_key"])
+    facts = attach_version_by_moment(lines, moments, customer, ["customer_id"], "invoice_date", ["customer_key"])
     facts = look_up(facts, product, {"stock_code": "stock_code"}, "product_key")
     facts = look_up(facts, country, {"country": "country_name"}, "country_key")
     facts = facts.withColumn("sold_on", F.to_date("invoice_date"))

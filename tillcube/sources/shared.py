@@ -4,12 +4,16 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
 SHARED_FOLDER_SETTING = "spark.checkpoint.dir"
 
 _local_folders: dict[str, str] = {}
+# Paths handed out to each job that is under way, the innermost last.
+_jobs: list[list[str]] = []
 
 
 def shared_folder(spark: SparkSession) -> str:
@@ -31,8 +35,25 @@ def shared_folder(spark: SparkSession) -> str:
 
 
 def new_path(spark: SparkSession, label: str) -> str:
-    """Return a path in the shared folder that no other job uses."""
-    return f"{shared_folder(spark)}/{label}-{uuid.uuid4().hex}"
+    """Return a path in the shared folder that no other job uses. Inside :func:`job` it is removed when the job ends."""
+    path = f"{shared_folder(spark)}/{label}-{uuid.uuid4().hex}"
+    if _jobs:
+        _jobs[-1].append(path)
+    return path
+
+
+@contextmanager
+def job(spark: SparkSession) -> Iterator[None]:
+    """Remove what is written to the shared folder inside the block, whether it ends well or not.
+
+    For jobs that write their results elsewhere: tables that lie on what is removed cannot be read afterwards.
+    """
+    _jobs.append([])
+    try:
+        yield
+    finally:
+        for path in _jobs.pop():
+            delete(spark, path)
 
 
 def materialize(df: DataFrame, label: str) -> DataFrame:
@@ -45,3 +66,48 @@ def materialize(df: DataFrame, label: str) -> DataFrame:
     path = new_path(spark, label)
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
+
+
+def _opened(spark: SparkSession, path: str):
+    """The file system of a path, whatever its kind, and the path in it."""
+    there = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return there.getFileSystem(spark._jsc.hadoopConfiguration()), there
+
+
+def delete(spark: SparkSession, path: str) -> None:
+    """Remove a file or folder; nothing happens where there is none."""
+    system, there = _opened(spark, path)
+    system.delete(there, True)
+
+
+def folder_names(spark: SparkSession, path: str) -> list[str]:
+    system, there = _opened(spark, path)
+    return [found.getPath().getName() for found in system.listStatus(there)] if system.exists(there) else []
+
+
+def write_text(spark: SparkSession, path: str, text: str) -> None:
+    system, there = _opened(spark, path)
+    stream = system.create(there, True)
+    try:
+        stream.write(bytearray(text.encode()))
+    finally:
+        stream.close()
+
+
+def read_text(spark: SparkSession, path: str) -> str | None:
+    """A small file as text, None where there is none."""
+    system, there = _opened(spark, path)
+    if not system.exists(there):
+        return None
+    return spark.read.text(path, wholetext=True).first()[0]
+
+
+def rename(spark: SparkSession, path: str, to: str) -> None:
+    """Put a file in the place of another."""
+    system, there = _opened(spark, path)
+    target = spark._jvm.org.apache.hadoop.fs.Path(to)
+    if not system.rename(there, target):
+        # Some file systems do not rename onto a file that is there.
+        system.delete(target, False)
+        if not system.rename(there, target):
+            raise OSError(f"cannot put {path} in the place of {to}")
