@@ -58,38 +58,68 @@ def test_shards_are_contiguous_and_equal_in_bytes(run):
     assert ids == sorted(ids)
 
 
-def line_chunks(text):
-    """Chunks of a text as (first line, lines, bytes), by the stated rule."""
-    if not text:
-        return []
-    lines = text.encode().split(b"\n")
-    ends = set(line_dedup.chunk_ends(lines, line_dedup.WINDOW, line_dedup.AVERAGE, line_dedup.PASSAGE_WORDS).tolist())
-    chunks, first = [], 0
-    for at in range(len(lines)):
-        if at in ends:
-            chunk = b"\n".join(lines[first : at + 1])
-            if chunk.strip() and (at > first or len(chunk.split()) >= line_dedup.PASSAGE_WORDS):
-                chunks.append((first, at + 1 - first, chunk))
-            first = at + 1
-    return chunks
-
-
-def test_line_dedup_removes_what_python_removes(run):
-    keeper = {}
-    for doc_id, text in ROWS:
-        for _, _, chunk in line_chunks(text):
-            if doc_id is not None:
-                keeper[chunk] = min(keeper.get(chunk, doc_id), doc_id)
-    expected = []
-    for doc_id, text in ROWS:
-        seen, gone = set(), set()
-        for first, count, chunk in line_chunks(text):
-            if chunk in seen or chunk in keeper and keeper[chunk] != doc_id:
-                gone |= set(range(first, first + count))
-            seen.add(chunk)
-        kept = "\n".join(line for at, line in enumerate((text or "").split("\n")) if at not in gone)
-        expected.append((doc_id, text if not gone else kept))
-    assert odd.many((r.doc_id, r.text) for r in run("op3_line_dedup").collect()) == odd.many(expected)
+def passages(docs, least=50):
+    """For each document which of its lines lie in a run of lines that an earlier document has too, with so many words."""
+    places, covered = defaultdict(list), {}
+    for doc_id in sorted(docs):
+        lines = docs[doc_id]
+        sizes, found = [len(odd.words(line)) for line in lines], [False] * len(lines)
+        aligned = defaultdict(list)
+        for at, line in enumerate(lines):
+            for other, there in places[line]:
+                aligned[other, there - at].append(at)
+        for same in aligned.values():
+            first = 0
+            for at in range(len(same)):
+                if at + 1 == len(same) or same[at + 1] != same[at] + 1:
+                    if sum(sizes[x] for x in same[first : at + 1]) >= least:
+                        for x in same[first : at + 1]:
+                            found[x] = True
+                    first = at + 1
+        covered[doc_id] = found
+        for at, line in enumerate(lines):
+            places[line].append((doc_id, at))
+    return covered
+
+
+def removed_lines(row):
+    return {at for span in row.removed for at in range(span.first_line, span.first_line + span.n_lines)}
+
+
+@pytest.mark.parametrize("folder", ["/root/testdata/sf0.001", "/root/testdata/sf0.01"])
+def test_line_dedup_finds_repeated_passages(spark, folder):
+    found = {row.doc_id: row for row in QUERIES["op3_line_dedup"](spark, folder).collect()}
+    texts = spark.read.parquet(f"{folder}/documents.parquet").select("doc_id", "text").collect()
+    docs = {doc_id: text.split("\n") if text else [] for doc_id, text in texts}
+    covered = passages(docs)
+    wanted = [(doc_id, at) for doc_id, marks in covered.items() for at, mark in enumerate(marks) if mark and odd.words(docs[doc_id][at])]
+    hit = sum(at in removed_lines(found[doc_id]) for doc_id, at in wanted)
+    assert len(wanted) > 50 and hit == len(wanted)
+    kept = {line for doc_id, lines in docs.items() for at, line in enumerate(lines) if at not in removed_lines(found[doc_id])}
+    for doc_id, lines in docs.items():
+        gone = removed_lines(found[doc_id])
+        # What stays is the text without the removed lines, and nothing that is removed is lost.
+        assert (found[doc_id].text or "") == "\n".join(line for at, line in enumerate(lines) if at not in gone)
+        assert {lines[at] for at in gone} <= kept
+        for span in found[doc_id].removed:
+            run = lines[span.first_line : span.first_line + span.n_lines]
+            assert span.n_lines > 1 or len(odd.words(run[0])) >= 50
+
+
+def test_line_dedup_of_odd_documents(run):
+    rows = run("op3_line_dedup").collect()
+    texts = Counter((doc_id, text) for doc_id, text in ROWS)
+    assert len(rows) == len(ROWS) and sum(texts.values()) == len(ROWS)
+    # No line of words is lost: it stays in some row.
+    before = {line for _, text in ROWS for line in (text or "").split("\n")}
+    after = {line for row in rows for line in (row.text or "").split("\n")}
+    assert {line for line in before if odd.words(line)} <= after
+    by_id = defaultdict(list)
+    for row in rows:
+        by_id[row.doc_id].append(row)
+    ids = {text: doc_id for doc_id, text in ROWS if text and text.startswith("start\n")}
+    (copied,) = (by_id[doc_id][0] for doc_id in ids.values())
+    assert copied.text == "start" and [tuple(x)[:2] for x in copied.removed] == [(1, 3)]
 
 
 def test_a_passage_is_found_wherever_it_stands(spark):
@@ -98,14 +128,33 @@ def test_a_passage_is_found_wherever_it_stands(spark):
             for at in range(1, 6)]
     cut = line_dedup.deduplicate(spark.createDataFrame(docs, "doc_id long, text string")).collect()
     for row in cut:
-        left = sum(line in row.text for line in passage)
-        assert left == 40 if row.doc_id == 1 else left < 20
+        left = sum(line in row.text.split("\n") for line in passage)
+        assert left == (40 if row.doc_id == 1 else 0)
+        assert len(row.text.split("\n")) == left + 4 + row.doc_id
     one_line = odd.prose(77, 60)
     docs = [(at, f"{odd.prose(at, 10)}\n{one_line}\n{odd.prose(-at, 10)}") for at in range(1, 6)]
     cut = line_dedup.deduplicate(spark.createDataFrame(docs, "doc_id long, text string")).collect()
-    assert [one_line in row.text for row in sorted(cut)] == [True, False, False, False, False] or sorted(
-        row.doc_id for row in cut if one_line in row.text
-    ) == [1]
+    assert sorted(row.doc_id for row in cut if one_line in row.text) == [1]
+
+
+def test_a_passage_of_three_lines_goes_whole(spark):
+    """Fifty-one words in three lines, between other lines, in many places: whatever boundaries fall where."""
+    docs, passage = [], {}
+    for group in range(60):
+        passage[group] = [odd.prose(50_000 + 10 * group + x, 17) for x in range(3)]
+        for copy in range(3):
+            around = [odd.prose(90_000 + 100 * group + 10 * copy + x, 6) for x in range(2 + copy)]
+            docs.append((group + 100 * copy, "\n".join([*around, *passage[group], odd.prose(group - 7000 * copy, 5)])))
+    cut = line_dedup.deduplicate(spark.createDataFrame(docs, "doc_id long, text string")).collect()
+    left = sum(line in row.text.split("\n") for row in cut for line in passage[row.doc_id % 100] if row.doc_id >= 100)
+    assert left == 0
+    assert all(line in row.text for row in cut for line in passage[row.doc_id % 100] if row.doc_id < 100)
+
+
+def test_the_same_line_again_and_again(spark):
+    docs = [(1, "\n".join(["the same line here"] * 400)), (2, "\n" * 5000 + "end"), (3, "\n" * 5000 + "end")]
+    cut = {row.doc_id: row for row in line_dedup.deduplicate(spark.createDataFrame(docs, "doc_id long, text string")).collect()}
+    assert 0 < cut[1].text.count("the same line here") < 30 and cut[2].text.strip() == "end"
 
 
 def test_exact_copies_of_short_lines_go_whole(spark):
