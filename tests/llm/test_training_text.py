@@ -1,6 +1,7 @@
 """Operators beyond their queries: own parameters, texts and files that come out, the pipeline."""
 
 import random
+from pathlib import Path
 
 import numpy as np
 import odd
@@ -167,3 +168,25 @@ def test_pipeline(spark, small, odd_folder):
 
 def test_pipeline_of_no_documents(spark, empty_folder):
     assert corpus_pipeline.run(spark, empty_folder).collect() == []
+
+
+def test_token_files_are_laid_out_for_selective_reads(spark, folder):
+    """Encodings, row groups and page indexes as the written files have them."""
+    import pyarrow.parquet as pq
+
+    docs = spark.range(3000).select(F.col("id").alias("doc_id"), F.concat_ws(" ", F.transform(
+        F.sequence(F.lit(1), F.lit(40)), lambda x: F.concat(F.lit("w"), (x * F.col("id") % 97).cast("string")))).alias("text"))
+    token_files.write(docs.coalesce(1), f"{folder}/tokens", options=token_files.write_options(1 << 15, 1 << 12))
+    files = [pq.ParquetFile(path) for path in sorted(Path(f"{folder}/tokens").glob("*.parquet"))]
+    groups = [file.metadata.row_group(at) for file in files for at in range(file.metadata.num_row_groups)]
+    assert sum(group.num_rows for group in groups) == 3000 and len(groups) > 2
+    for group in groups:
+        assert group.total_byte_size < 1 << 18
+        columns = {group.column(at).path_in_schema: group.column(at) for at in range(group.num_columns)}
+        assert any("DICTIONARY" in x for x in columns["ids.list.element"].encodings)
+        for name in ("doc_id", "part_start", "n_tokens"):
+            assert "DELTA_BINARY_PACKED" in columns[name].encodings and not columns[name].has_dictionary_page
+        assert all(column.has_offset_index and column.has_column_index for column in columns.values())
+        assert columns["doc_id"].statistics.has_min_max
+    ranges = sorted((g.column(0).statistics.min, g.column(0).statistics.max) for g in groups)
+    assert all(a[1] < b[0] for a, b in zip(ranges[:-1], ranges[1:], strict=True))
