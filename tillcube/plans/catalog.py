@@ -15,7 +15,19 @@ from pyspark.sql import functions as F
 from tillcube.contract import COLUMNS, UNKNOWN_PRODUCT
 from tillcube.functions import calendar, measures, money
 from tillcube.functions.filters import with_known
-from tillcube.operators import align, cleaning, compare, dedup, history, narrow, numbering, profile, reports, segments
+from tillcube.operators import (
+    align,
+    cleaning,
+    compare,
+    dedup,
+    history,
+    narrow,
+    numbering,
+    profile,
+    reports,
+    segments,
+    sketches,
+)
 from tillcube.operators.cleaning import RULES
 from tillcube.plans import (
     dimensions,
@@ -405,6 +417,18 @@ def invoices_per_customer(spark: SparkSession, folder: str) -> DataFrame:
     return reports.ranked(counts, "invoices", "customer_id")
 
 
+@registered
+def distinct_sketch_rollup(spark: SparkSession, folder: str) -> DataFrame:
+    """Invoices per country and year from sketches per country, customer and month, beside the exact count."""
+    sales = methods.bench_lines(retail_lines(spark, folder))
+    fine = sketches.distinct_sketches(sales, ["country", "customer_id", "year", "month"], "invoice_no")
+    keys = ["country", "year"]
+    estimated = sketches.rolled_up(fine, keys, "estimate")
+    exact = with_known(sales, keys).groupBy(*keys).agg(F.count_distinct("invoice_no").alias("invoices"))
+    near = sketches.within_error(F.col("estimate"), F.col("invoices")).alias("within_error")
+    return exact.join(estimated, keys).select(*keys, "invoices", near)
+
+
 @registered
 def agg_by_grouping(spark: SparkSession, folder: str) -> DataFrame:
     return methods.by_grouping(methods.bench_lines(retail_lines(spark, folder)))

@@ -531,6 +531,8 @@ BODIES: dict[str, str] = {
       having count(distinct unit_price) > 1""",
     "invoices_per_customer": """select customer_id, count(distinct invoice_no) as invoices
       from bench group by customer_id""",
+    "distinct_sketch_rollup": """select country, "year", count(distinct invoice_no) as invoices, true as within_error
+      from (select country, cast(year(invoice_date) as integer) as "year", invoice_no from bench) group by country, "year" """,
     "agg_by_grouping": METHODS,
     "agg_by_pivot_method": METHODS,
     "agg_prekeyed": METHODS,

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import tempfile
 import uuid
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
@@ -12,8 +12,8 @@ from pyspark.sql import DataFrame, SparkSession
 SHARED_FOLDER_SETTING = "spark.checkpoint.dir"
 
 _local_folders: dict[str, str] = {}
-# Paths handed out to each job that is under way, the innermost last.
-_jobs: list[list[str]] = []
+# What to remove when each job that is under way ends, the innermost job last.
+_jobs: list[list[Callable[[SparkSession], None]]] = []
 
 
 def shared_folder(spark: SparkSession) -> str:
@@ -38,7 +38,7 @@ def new_path(spark: SparkSession, label: str) -> str:
     """Return a path in the shared folder that no other job uses. Inside :func:`job` it is removed when the job ends."""
     path = f"{shared_folder(spark)}/{label}-{uuid.uuid4().hex}"
     if _jobs:
-        _jobs[-1].append(path)
+        _jobs[-1].append(lambda spark: delete(spark, path))
     return path
 
 
@@ -52,8 +52,8 @@ def job(spark: SparkSession) -> Iterator[None]:
     try:
         yield
     finally:
-        for path in _jobs.pop():
-            delete(spark, path)
+        for remove in _jobs.pop():
+            remove(spark)
 
 
 def materialize(df: DataFrame, label: str) -> DataFrame:
@@ -68,6 +68,23 @@ def materialize(df: DataFrame, label: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def materialize_by_key(df: DataFrame, label: str, key: str, buckets: int | None = None) -> DataFrame:
+    """Write ``df`` as a table in buckets of ``key`` and return it.
+
+    Rows are dealt out by the key once; groupings and joins by the key (and more columns) then need no shuffle, as
+    often as the table is read. For tables in which no key holds a large share of the rows, such as sums.
+    """
+    spark = df.sparkSession
+    count = buckets or int(spark.conf.get("spark.sql.shuffle.partitions"))
+    path = new_path(spark, label)
+    name = path.rsplit("/", 1)[1].replace("-", "_")
+    dealt = df.repartition(count, key)
+    dealt.write.format("parquet").bucketBy(count, key).sortBy(key).option("path", path).saveAsTable(name)
+    if _jobs:
+        _jobs[-1].append(lambda spark: spark.sql(f"drop table if exists {name}"))
+    return spark.table(name)
+
+
 def _opened(spark: SparkSession, path: str):
     """The file system of a path, whatever its kind, and the path in it."""
     there = spark._jvm.org.apache.hadoop.fs.Path(path)
