@@ -231,7 +231,8 @@ def removals(
     own = places.join(again, "digest", "left_semi").groupBy("doc_id", "text_key").agg(F.sort_array(F.collect_set(line)).alias("lines"))
     pieces = materialize(own.mapInArrow(partial(_pieces, passage_words), PIECES), "line_pieces")
     kept = pieces.groupBy("piece").agg(F.min("doc_id").alias("keeper"), F.count("*").alias("places")).where("places > 1")
-    found = pieces.join(kept.drop("places"), "piece")
+    # Written, so that a piece that many documents have may be dealt to several tasks, or met where it lies.
+    found = pieces.join(materialize(kept.select("piece", "keeper"), "kept_pieces"), "piece")
     first = F.col("keeper").eqNullSafe(F.col("doc_id")) | F.col("keeper").isNull()
     gone = found.where(F.col("again") | ~first)
     columns = ("first_line", "n_lines", "words_before", "words_after", "anchor")
