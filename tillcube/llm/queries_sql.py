@@ -3,6 +3,62 @@ has no function for."""
 
 from __future__ import annotations
 
+from string import ascii_lowercase, ascii_uppercase
+
+# Levels of a tree of 16 children that the SQL below is written out for: over 16 million leaves.
+LEVELS = 6
+# CRC-32 of the decimal digits of a document's id.
+CRC32 = """xor(list_reduce([4294967295::bigint] || [ascii(c)::bigint for c in string_split(doc_id::varchar, '')],
+  lambda crc, byte: list_reduce([xor(crc, byte)] || [0::bigint for x in range(8)],
+    lambda c, x: case when c % 2 = 1 then xor(c >> 1, 3988292384) else c >> 1 end)), 4294967295)"""
+
+
+def _tree(name: str) -> str:
+    """Levels above ``<name>_0`` (tree, pos, n, digest), and the siblings of every node of each."""
+    parts = []
+    for level in range(LEVELS):
+        node, grown = f"{name}_{level}", f"n > {16**level}"
+        run = "over (partition by tree, pos // 16 order by pos rows between"
+        parts.append(f"""{name}_siblings_{level} as (select tree, pos, {grown} as grown,
+          coalesce(string_agg(digest, '') {run} unbounded preceding and 1 preceding), '') as before,
+          coalesce(string_agg(digest, '') {run} 1 following and unbounded following), '') as after from {node})""")
+        parts.append(f"""{name}_{level + 1} as (select tree, pos // 16 as pos, n,
+          case when {grown} then sha256(string_agg(digest, '' order by pos)) else min(digest) end as digest
+          from {node} group by tree, pos // 16, n)""")
+    return ", ".join(parts)
+
+
+def _climbed(leaves: str, name: str) -> str:
+    """``leaves`` with their siblings in a tree added to ``proof``, and ``node`` folded with them."""
+    for level in range(LEVELS):
+        leaves = f"""select l.* exclude (proof, node), case when s.grown then proof || before || after else proof end as proof,
+          case when s.grown then sha256(before || node || after) else node end as node
+          from ({leaves}) l join {name}_siblings_{level} s on l.tree = s.tree and l.pos // {16**level} = s.pos"""
+    return leaves
+
+
+def _leaf(text: str) -> str:
+    fields = ("doc_id", "source", "lang", "n_chars", text)
+    return "sha256(" + " || ".join(f"coalesce(strlen(({x})::varchar) || ':' || ({x})::varchar, '-')" for x in fields) + ")"
+
+
+def _manifest() -> str:
+    lowered = f"translate(text, '{ascii_uppercase}', '{ascii_lowercase}')"
+    return f"""with hashed as (select doc_id, coalesce('s' || source, '') as tree, {_leaf("text")} as leaf,
+        case when {CRC32} % 5 = 0 then {_leaf(lowered)} else {_leaf("text")} end as altered from documents),
+      placed as (select *, row_number() over (partition by tree order by doc_id nulls first, leaf) - 1 as pos,
+        count(*) over (partition by tree) as n from hashed),
+      rows_0 as (select tree, pos, n, leaf as digest from placed), {_tree("rows")},
+      groups_0 as (select '' as tree, row_number() over (order by tree) - 1 as pos, count(*) over () as n, digest,
+        tree as key from rows_{LEVELS}), {_tree("groups")},
+      own as ({_climbed("select *, '' as proof, altered as node from placed", "rows")}),
+      topped as (select own.* exclude (tree, pos), g.tree, g.pos, g.digest as subroot
+        from own join groups_0 g on own.tree = g.key),
+      found as ({_climbed("select * from topped", "groups")})
+      select doc_id, leaf, subroot, r.digest as root, sha256(proof) as proof_sha256, node as folded_root,
+        node = r.digest as verified from found cross join groups_{LEVELS} r"""
+
+
 ORACLE_SQL: dict[str, str] = {
     "op7_exact_dedup": r"""
         select doc_id, min(doc_id) over equal_texts as keep_id, count(*) over equal_texts as group_size,
@@ -31,4 +87,5 @@ ORACLE_SQL: dict[str, str] = {
         where not same and 50 * positive_score <= 100 * score and 100 * score <= 95 * positive_score
         qualify rank <= 3
     """,
+    "op12_merkle_manifest": _manifest(),
 }
