@@ -251,6 +251,7 @@ class PieceEncoder(SegmentEncoder):
 
     # Many words at once, for the search advances all words of a length together.
     step_bytes = 8 << 20
+    spreads = False
 
     def __init__(self, path: str, remembered: int = 600_000):
         self.model = PieceModel(path)

@@ -39,8 +39,9 @@ LETTERS = "[A-Za-zÀ-ÖØ-öø-ÿ]"
 PLAIN = re.compile(f"{LETTERS}+[.,]?(?:\n{LETTERS}+[.,]?)*")
 WORDS = re.compile(f"{LETTERS}+")
 ATOM = re.compile(f"{LETTERS}+|[.,\n]")
-# A mark that ends a word of letters before a blank. A tokenizer that drops blanks takes it as a word of its own.
-ENDING = "([A-Za-zÀ-ÖØ-öø-ÿ])([.,])( |$)"
+# A mark that ends a word of letters, and the end of a line between two words: parts of their own.
+ENDING = "([A-Za-zÀ-ÖØ-öø-ÿ])([.,])([ \n]|$)"
+BREAK = "([A-Za-zÀ-ÖØ-öø-ÿ.,])\n([A-Za-zÀ-ÖØ-öø-ÿ])"
 # Marks a part that begins its text, and so has no blank before it.
 FIRST = "\x00"
 MARK, NOTHING = pa.scalar(FIRST, pa.large_string()), pa.scalar("", pa.large_string())
@@ -60,12 +61,11 @@ class SegmentEncoder:
     """
 
     step_bytes = STEP_BYTES
-    spreads = False
+    spreads = True
 
     def __init__(self, path: str, leading_blank: bool, remembered: int = REMEMBERED):
         self.tokenizer = load(path)
         self.leading_blank = leading_blank
-        self.spreads = not leading_blank
         self.remembered = remembered
         # Ids that begin a word (byte-level, where the blank is written so) or end one.
         names = [self.tokenizer.id_to_token(i) or "" for i in range(self.tokenizer.get_vocab_size())]
@@ -110,7 +110,7 @@ class SegmentEncoder:
     def _atoms(self, key: str) -> list[str]:
         """Keys of the parts of a part that are words to the tokenizer for certain: runs of letters, single marks
         and single line ends between them."""
-        if self.spreads:
+        if not self.leading_blank or key.isalpha():
             return [key]
         first = key[:1] == FIRST
         body = key[first:]
@@ -186,8 +186,14 @@ class SegmentEncoder:
         return gathered(np.concatenate([part_ids, other_ids]), begin, lengths)
 
     def _spread(self, texts: pa.Array) -> pa.Array:
-        """For a tokenizer that drops blanks and writes letters small: the same words, each between blanks, in fewer
-        spellings. Texts that may hold a special string stay as they are."""
+        """The texts with blanks put between parts, so that they are split there, in fewer spellings.
+
+        For a byte-level tokenizer a part after such a blank begins with the mark that says that it has none. One that drops
+        blanks and writes letters small needs no mark and has no capitals; texts that may hold a special string
+        stay as they are."""
+        if self.leading_blank:
+            texts = pc.replace_substring_regex(texts, ENDING, rf"\1 {FIRST}\2\3")
+            return pc.replace_substring_regex(texts, BREAK, f"\\1 {FIRST}\n {FIRST}\\2")
         # The first step copies: ascii_lower gives wrong offsets for a slice of a longer array.
         plain = pc.ascii_lower(pc.replace_substring(texts, "\n", " "))
         plain = pc.replace_substring_regex(plain, ENDING, r"\1 \2\3")
