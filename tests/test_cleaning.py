@@ -178,3 +178,6 @@ def test_large_small_and_broken_numbers_are_kept(spark):
     broken = raw.union(spark.createDataFrame([("9", "A", "x", "many", "soon", "", None, "France")], columns))
     counted = {row.column_name: row.unparsed_values for row in unparsed_values(broken).collect()}
     assert {name: count for name, count in counted.items() if count} == {"quantity": 1, "invoice_date": 1}
+    fine = spark.createDataFrame([("9", "A", "x", "0.00001", "soon", "1.23456789", None, "France")], columns)
+    rounded = {row.column_name: row.rounded_values for row in unparsed_values(raw.union(fine)).collect()}
+    assert {name: count for name, count in rounded.items() if count} == {"quantity": 1, "unit_price": 1}

@@ -111,6 +111,12 @@ def test_a_killed_run_leaves_the_last_whole_set(spark, folder, monkeypatch):
     write_set(spark, folder, {"a": spark.range(9)}, {})
     final = current_set(spark, folder)
     assert final.tables == {"a": 9} and final.reports == () and len(os.listdir(f"{folder}/sets")) == 1
+    os.rename(f"{folder}/current.json", f"{folder}/current.next")
+    assert current_set(spark, folder) == final
+    with open(f"{folder}/current.next", "w") as file:
+        file.write('{"set": ')
+    with pytest.raises(FileNotFoundError):
+        current_set(spark, folder)
 
 
 def test_a_job_that_fails_removes_what_it_wrote(spark, inputs, folder, monkeypatch):

@@ -73,14 +73,19 @@ def _parsed(name: str) -> Column:
 
 
 def unparsed_values(lines: DataFrame) -> DataFrame:
-    """Per contract column the values that are there but do not parse, from aligned lines not yet typed.
+    """Per contract column the values that are there but do not parse, and those that have more places than the
+    contract keeps, from aligned lines not yet typed.
 
-    Typing makes them null and the rules then drop their lines; this report tells how many.
+    Typing makes the first null, and the rules then drop their lines; it rounds the others. This report tells how many.
     """
-    found = [
-        F.count_if((F.trim(F.col(name).cast("string")) != "") & _parsed(name).isNull()).alias(name) for name in CONTRACT
-    ]
-    return lines.agg(*found).unpivot([], list(CONTRACT), "column_name", "unparsed_values")
+    found = []
+    for name, kind in CONTRACT.items():
+        text = F.trim(F.col(name).cast("string"))
+        rounded = text.try_cast("decimal(38,18)") != _parsed(name) if kind.startswith("decimal") else F.lit(False)
+        unparsed = F.count_if((text != "") & _parsed(name).isNull())
+        found.append(F.struct(F.lit(name), unparsed, F.count_if(rounded)))
+    counted = lines.agg(F.array(*found).alias("_found"))
+    return counted.select(F.inline("_found").alias("column_name", "unparsed_values", "rounded_values"))
 
 
 def stack(frames: Sequence[DataFrame]) -> DataFrame:

@@ -69,8 +69,11 @@ def write_set(
 
 def current_set(spark: SparkSession, output: str) -> StoredSet:
     """The set that ``output`` names; an error where no run has ended yet."""
-    text = read_text(spark, f"{output}/{CURRENT}")
-    if text is None:
-        raise FileNotFoundError(f"no set has been written to {output}")
-    manifest = json.loads(text)
-    return StoredSet(f"{_sets(output)}/{manifest['set']}", manifest["tables"], tuple(manifest["reports"]))
+    # Where a file cannot be renamed onto another, a run that is killed in between leaves the new name alone.
+    for name in (CURRENT, NEXT):
+        try:
+            manifest = json.loads(read_text(spark, f"{output}/{name}") or "")
+        except ValueError:
+            continue
+        return StoredSet(f"{_sets(output)}/{manifest['set']}", manifest["tables"], tuple(manifest["reports"]))
+    raise FileNotFoundError(f"no set has been written to {output}")
