@@ -10,11 +10,13 @@ from retail import line, lines, plain
 
 from tillcube.functions import measures
 from tillcube.functions.calendar import period_of, with_calendar
-from tillcube.operators import compare, narrow, profile, reports, segments
+from tillcube.operators import compare, narrow, numbering, profile, reports, segments
 from tillcube.operators.dedup import count_copies
-from tillcube.operators.numbering import number_rows
+from tillcube.operators.numbering import number_rows, with_tie
 from tillcube.operators.quantiles import quantiles
 from tillcube.plans import methods, order_file
+from tillcube.plans.dimensions import look_up
+from tillcube.sources.shared import materialize
 from tillcube.sources.sinks import first_rows, replicate
 
 
@@ -90,6 +92,33 @@ def test_numbers_of_equal_rows(spark):
     assert plain(number_rows(mixed, "n", ["k"], repeated=True)) == [(1, "a"), (2, "b"), (3, "b"), (4, None)]
 
 
+def test_numbers_of_equal_rows_that_are_told_apart(spark, monkeypatch):
+    written = []
+    monkeypatch.setattr(numbering, "materialize", lambda df, label: written.append(materialize(df, label)) or written[-1])
+    before = spark.conf.get("spark.sql.adaptive.coalescePartitions.enabled")
+    rows = spark.range(4000, numPartitions=4).select(
+        F.when(F.col("id") % 4 > 0, F.lit("hot")).otherwise(F.col("id").cast("string")).alias("k"),
+        F.when(F.col("id") % 5 > 0, F.lit(1)).alias("v"),
+    )
+    counted = number_rows(rows, "n", ["k", "v"], repeated=True)
+    try:
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+        tied = number_rows(with_tie(materialize(rows, "rows"), "_tie"), "n", ["k", "v"], tie="_tie")
+    finally:
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", before)
+    assert tied.columns == ["n", "k", "v"] and plain(tied) == plain(counted)
+    # Copies of one row are dealt out: no written partition holds most of them.
+    hot = written[-1].where("k = 'hot' and v = 1").groupBy(F.shiftright("_at", 33)).count()
+    assert max(row["count"] for row in hot.collect()) < 1600
+
+
+def test_look_up_finds_null_where_it_may(spark):
+    facts = spark.createDataFrame([(1,), (None,), (2,)], "a int")
+    dimension = spark.createDataFrame([(1, 10), (None, 30)], "b int, k int")
+    assert plain(look_up(facts, dimension, {"a": "b"}, "k", nullable=["a"])) == [(1, 10), (2, None), (None, 30)]
+    assert plain(look_up(facts, dimension, {"a": "b"}, "k")) == [(1, 10), (2, None), (None, None)]
+
+
 def test_numbers_of_no_rows(spark):
     assert number_rows(spark.range(0).toDF("k"), "n", ["k"]).count() == 0
 

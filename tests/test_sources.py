@@ -166,6 +166,18 @@ def test_warehouse_layout(spark, folder):
     assert len(back["fact"].inputFiles()) == 3
 
 
+def test_warehouse_derives_columns_and_sorts_files(spark, folder):
+    df = spark.range(5000).select((F.col("id") * 7919 % 5000).alias("id"), (F.col("id") % 3).cast("int").alias("year"))
+    twice = {"fact": lambda table: table.withColumn("twice", F.col("id") * 2)}
+    sinks.write_warehouse({"fact": df}, folder, {"fact": ["year"]}, {"fact": ["id"]}, twice)
+    back = sinks.read_warehouse(spark, folder, ["fact"])["fact"]
+    assert back.columns == ["id", "twice", "year"] and plain(back.drop("twice")) == plain(df)
+    assert back.where("twice <> 2 * id").isEmpty()
+    for path in back.inputFiles():
+        ids = [row.id for row in spark.read.parquet(path).coalesce(1).collect()]
+        assert ids == sorted(ids)
+
+
 def test_replicate(spark):
     df = spark.createDataFrame([(1,), (2,)], "a int")
     assert plain(sinks.replicate(df, 3)) == [(1,)] * 3 + [(2,)] * 3

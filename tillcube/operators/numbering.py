@@ -15,10 +15,16 @@ POSITION_BITS = 33
 
 # Copies of a row that one generated array holds.
 RUN = 4_096
+# Tasks that copies of one row are dealt out to at most.
+TIES = 1_024
 
 
 def number_rows(
-    df: DataFrame, name: str, order_by: Sequence[str] | None = None, repeated: bool = False
+    df: DataFrame,
+    name: str,
+    order_by: Sequence[str] | None = None,
+    repeated: bool = False,
+    tie: str | None = None,
 ) -> DataFrame:
     """Put a column ``name`` with 1..n in front.
 
@@ -28,6 +34,10 @@ def number_rows(
     copies is one row until the copies get their numbers, one after the other. The numbers depend on the rows alone:
     a second run, or a task that runs again, gives every row the same ones.
 
+    Counting moves every row once more, which is lost where few rows have copies. A column ``tie`` that varies among equal
+    rows (:func:`with_tie`) saves it: rows are then sorted by it too, last, so that copies of a row are dealt out as well.
+    It is not in the result, and as equal rows do not differ without it, neither are the numbers changed by it.
+
     Without an order the numbers follow the partitions as they are read and nothing is shuffled,
     which is what a fact table needs: its row id has to be dense and unique, nothing more.
 
@@ -35,11 +45,13 @@ def number_rows(
     same partitions; the second adds each partition's offset, which is one row per written
     partition and therefore small enough to broadcast.
     """
-    columns = df.columns
+    columns = [column for column in df.columns if column != tie]
     ordering = list(order_by or [])
     if ordering and repeated:
         df = df.groupBy(*columns).agg(F.count("*").alias("_copies"))
         ordering += [column for column in columns if column not in ordering]
+    if ordering and tie:
+        ordering += [column for column in [*columns, tie] if column not in ordering]
     if ordering:
         df = df.orderBy(*[F.col(column).asc_nulls_last() for column in ordering])
     if ordering and repeated:
@@ -57,6 +69,11 @@ def number_rows(
     )
 
 
+def with_tie(written: DataFrame, name: str) -> DataFrame:
+    """A small number that varies along a table just read from files, so that a task that runs again gives it again."""
+    return written.withColumn(name, (F.monotonically_increasing_id() % TIES).cast("smallint"))
+
+
 def expanded(counted: DataFrame, columns: Sequence[str]) -> DataFrame:
     """Each row as often as ``_copies`` says, where it lies. Runs of copies come first, so that no array is long."""
     runs = F.explode(F.sequence(F.lit(0).cast("bigint"), (F.col("_copies") - 1).cast("bigint"), F.lit(RUN).cast("bigint")))

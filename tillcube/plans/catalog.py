@@ -157,10 +157,16 @@ def reader_by_suffix(spark: SparkSession, folder: str) -> DataFrame:
 @registered
 def warehouse_sink_counts(spark: SparkSession, folder: str) -> DataFrame:
     path = new_path(spark, "warehouse")
-    tables = star.build_star(retail_lines(spark, folder))
+    tables = star.build_star(retail_lines(spark, folder), measures=False)
     days = tables["dim_date"].select("date_key", "year", "month")
     tables["fact_sales"] = tables["fact_sales"].join(days, "date_key", "left")
-    sinks.write_warehouse(tables, path, {"fact_sales": ["year", "month"]})
+    sinks.write_warehouse(
+        tables,
+        path,
+        {"fact_sales": ["year", "month"]},
+        within={"fact_sales": ["date_key", WAREHOUSE_KEYS["fact_sales"]]},
+        derived={"fact_sales": star.with_signed_measures},
+    )
     stored = sinks.read_warehouse(spark, path, list(tables))
     # Of every table its rows and the sum of its keys, of the fact its amounts too.
     counts = [

@@ -3,7 +3,7 @@ from the lines, and the optimizer knows its size when it plans the joins."""
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+from collections.abc import Mapping, Sequence
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -51,14 +51,21 @@ def customer_dimension(lines: DataFrame, countries: DataFrame, country_key: str)
     return number_rows(customers, "customer_key", ["customer_business_key", country_key])
 
 
-def look_up(facts: DataFrame, dimension: DataFrame, on: Mapping[str, str], *columns: str) -> DataFrame:
+def look_up(
+    facts: DataFrame, dimension: DataFrame, on: Mapping[str, str], *columns: str, nullable: Sequence[str] = ()
+) -> DataFrame:
     """Left-join columns of a dimension by its natural key (fact column: dimension column).
 
+    Null is a value like any other in the fact columns named in ``nullable``, and finds nothing in others.
+
     The natural key is unique, so no fact is lost or doubled. Whether the dimension is broadcast is
     decided by its written size; past the threshold the join shuffles and adaptive execution splits
     hot keys.
     """
     renamed = {theirs: f"_{theirs}" for theirs in on.values()}
     small = dimension.select(*[F.col(theirs).alias(alias) for theirs, alias in renamed.items()], *columns)
-    same = [F.col(ours) == F.col(renamed[theirs]) for ours, theirs in on.items()]
+    same = [
+        F.col(ours).eqNullSafe(F.col(renamed[theirs])) if ours in nullable else F.col(ours) == F.col(renamed[theirs])
+        for ours, theirs in on.items()
+    ]
     return facts.join(small, same, "left").drop(*renamed.values())

@@ -15,7 +15,7 @@ from tillcube.functions.measures import (
     return_part,
 )
 from tillcube.operators.cleaning import RULES, clean
-from tillcube.operators.numbering import number_rows
+from tillcube.operators.numbering import number_rows, with_tie
 from tillcube.operators.reports import net_gross_returns, ranked
 from tillcube.plans.dimensions import (
     country_dimension,
@@ -42,33 +42,38 @@ def with_signed_measures(lines: DataFrame) -> DataFrame:
     )
 
 
-def build_star(lines: DataFrame) -> dict[str, DataFrame]:
-    """Dimensions and ``fact_sales`` at the grain of one invoice line."""
-    prepared = with_business_key(clean(lines, RULES["keep_all"]))
-    lines = materialize(prepared, "prepared_lines")
+def build_star(lines: DataFrame, measures: bool = True) -> dict[str, DataFrame]:
+    """Dimensions and ``fact_sales`` at the grain of one invoice line.
+
+    Without ``measures`` the fact lacks those that follow from its other columns (:func:`with_signed_measures`).
+    """
+    written = materialize(clean(lines, RULES["keep_all"]), "prepared_lines")
+    lines = with_business_key(written)
     country = country_dimension(lines)
     customer = customer_dimension(lines, country, "country_key")
     product = product_dimension(lines)
     date = date_dimension(lines, "year", "quarter", "month", "day")
 
-    facts = look_up(lines, country, {"country": "country_name"}, "country_key")
-    home = customer.select("customer_key", "customer_business_key", F.col("country_key").alias("home"))
-    natural = {"customer_business_key": "customer_business_key", "country_key": "home"}
-    facts = look_up(facts, home, natural, "customer_key")
-    facts = look_up(facts, product, {"stock_code": "stock_code"}, "product_key")
+    # Small dimensions come first: their keys are shorter than what they stand for, and lines move twice after them.
+    facts = look_up(with_tie(written, "_tie"), country, {"country": "country_name"}, "country_key")
     facts = facts.withColumn("sold_on", F.to_date("invoice_date"))
     facts = look_up(facts, date, {"sold_on": "date"}, "date_key")
+    # The business key is the id as text or follows from the country, so the id and the country stand for it.
+    home = customer.select("customer_key", "customer_id_source", F.col("country_key").alias("home"))
+    natural = {"customer_id": "customer_id_source", "country_key": "home"}
+    facts = look_up(facts, home, natural, "customer_key", nullable=["customer_id"])
+    facts = look_up(facts, product, {"stock_code": "stock_code"}, "product_key")
     facts = facts.select(
-        "invoice_no", "customer_key", "product_key", "country_key", "date_key", "quantity", "unit_price"
+        "invoice_no", "customer_key", "product_key", "country_key", "date_key", "quantity", "unit_price", "_tie"
     )
-    numbered = number_rows(facts, "sales_fact_id", facts.columns, repeated=True)
+    numbered = number_rows(facts, "sales_fact_id", facts.columns, tie="_tie")
     return {
         "dim_country": country,
         "dim_customer": customer,
         "dim_product": product,
         "dim_date": date,
         # The measures follow from the columns that are numbered, so they need not be sorted or written.
-        "fact_sales": with_signed_measures(numbered),
+        "fact_sales": with_signed_measures(numbered) if measures else numbered,
     }
 
 

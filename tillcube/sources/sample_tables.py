@@ -36,21 +36,36 @@ def load_table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.schema(SCHEMAS[name]).parquet(f"{folder}/{name}.parquet")
 
 
-def _line_columns() -> list[Column]:
+# What a line has before it meets other tables: fewer and shorter columns to move than those they are made from.
+def _flags() -> dict[str, Column]:
     returned = F.col("l_returnflag") == "R"
-    cancelled = returned & (F.col("l_linestatus") == "F")
-    quantity = F.when(returned, -F.col("l_quantity")).otherwise(F.col("l_quantity"))
-    free = (F.col("p_size") == 50) & (F.col("l_linenumber") == 7)
+    return {
+        "cancelled": returned & (F.col("l_linestatus") == "F"),
+        "signed": F.when(returned, -F.col("l_quantity")).otherwise(F.col("l_quantity")),
+        "seventh": F.col("l_linenumber") == 7,
+    }
+
+
+def _priced() -> dict[str, Column]:
+    free = (F.col("p_size") == 50) & F.col("seventh")
     price = F.col("list_price") + F.col("l_discount").cast("decimal(12,2)")
+    return {
+        "description": F.when(F.col("p_size") == 1, None).otherwise(F.col("p_name")),
+        "quantity": F.col("signed").cast(CONTRACT["quantity"]),
+        "unit_price": F.when(free, 0).otherwise(price).cast(CONTRACT["unit_price"]),
+    }
+
+
+def _line_columns() -> list[Column]:
     return [
         F.concat(
-            F.when(cancelled, "C").otherwise(""), F.col("l_orderkey").cast("string")
+            F.when(F.col("cancelled"), "C").otherwise(""), F.col("l_orderkey").cast("string")
         ).alias("invoice_no"),
         F.col("l_partkey").cast("string").alias("stock_code"),
-        F.when(F.col("p_size") == 1, None).otherwise(F.col("p_name")).alias("description"),
-        quantity.cast(CONTRACT["quantity"]).alias("quantity"),
+        F.col("description"),
+        F.col("quantity"),
         F.col("o_orderdate").alias("invoice_date"),
-        F.when(free, 0).otherwise(price).cast(CONTRACT["unit_price"]).alias("unit_price"),
+        F.col("unit_price"),
         F.when(F.col("o_orderpriority") == "4-NOT SPECIFIED", None)
         .otherwise(F.col("o_custkey"))
         .alias("customer_id"),
@@ -67,9 +82,8 @@ def _joined(spark: SparkSession, folder: str) -> DataFrame:
         nation, F.col("c_nationkey") == F.col("n_nationkey")
     )
     priced = part.withColumn("list_price", F.col("p_retailprice").cast("decimal(12,2)"))
-    return lineitem.join(priced, F.col("l_partkey") == F.col("p_partkey")).join(
-        headers, F.col("l_orderkey") == F.col("o_orderkey")
-    )
+    lines = lineitem.withColumns(_flags()).join(priced, F.col("l_partkey") == F.col("p_partkey"))
+    return lines.withColumns(_priced()).join(headers, F.col("l_orderkey") == F.col("o_orderkey"))
 
 
 def retail_lines(spark: SparkSession, folder: str, *extra: str) -> DataFrame:
