@@ -171,6 +171,22 @@ def test_moments_find_the_version_that_holds(spark, ranges, seed):
         attach_version_by_moment(df, moments, versions, ["key"], "at", ["value"])
 
 
+@pytest.mark.parametrize("seed", range(3))
+def test_versions_and_moments_are_numbered_along_the_layout(spark, ranges, seed):
+    rows = [*several(seed), *((9, at, "A" if at % 30 < 15 else "B") for at in range(60))]
+    df = table(spark, rows)
+    versions, moments = version_history_with_moments(df, ["key"], "value", "at", "number")
+    found = plain(version_history(df, ["key"], "value", "at"), "key", "valid_from", "value", "valid_to")
+    found.sort(key=lambda row: row[:2])
+    numbered = sorted(tuple(row) for row in versions.select("number", "key", "valid_from", "value", "valid_to").collect())
+    assert numbered == [(place, *row) for place, row in enumerate(found, 1)]
+    by_start = {(row[1], row[2]): row[0] for row in numbered}
+    assert all(row.number == by_start[row.key, row.valid_from] for row in moments.collect())
+    facts = attach_version_by_moment(df, moments, versions, ["key"], "at", ["number"])
+    assert facts.count() == len(rows)
+    assert "valid_from" not in facts._jdf.queryExecution().optimizedPlan().toString().split("Join")[0]
+
+
 def test_moments_also_agree_in_the_tracked_value(spark):
     df = table(spark, [(1, 0, "B"), (1, 0, "A"), (1, 1, "B")])
     versions, moments = version_history_with_moments(df, ["key"], "value", "at")

@@ -84,41 +84,98 @@ def _versions(moments: DataFrame, key: Sequence[str], tracked: str, at: str) ->
 
 
 def version_history_with_moments(
-    df: DataFrame, key: Sequence[str], tracked: str, at: str
+    df: DataFrame, key: Sequence[str], tracked: str, at: str, number: str | None = None
 ) -> tuple[DataFrame, DataFrame]:
     """The history, and each of its moments with the ``valid_from`` of the version that holds then.
 
     Both read one layout of the time line by ranges, so facts that the history was built from find their versions
-    without being dealt out and swept again.
+    without being dealt out and swept again. As the layout follows key and moment, so do its versions: with ``number``
+    both get a column of that name in front, 1..n in the order of the versions, which costs no sort of its own.
     """
     moments = _in_ranges(one_value_per_moment(df, key, tracked, at), key, at, "moments")
-    return _versions(moments, key, tracked, at), _run_starts(moments, key, tracked, at)
+    marked, ranges = _marked_starts(moments, key, tracked, at)
+    placed = marked.join(F.broadcast(ranges), F.col("_range") == F.col("_partition"))
+    opens = (F.col("_place") == 1) & ~F.col("_goes_on")
+    begun = F.col("_begun") + F.when(F.col("_goes_on"), 0).otherwise(1)
+    placed = placed.withColumns(
+        {
+            "_starts": F.col("_start") | opens,
+            "_begin": F.coalesce("_begin", F.when(F.col("_goes_on"), F.col("_carried")).otherwise(F.col("_head_at"))),
+            "_version": F.col("_offset") + begun,
+        }
+    )
+    numbered = [F.col("_version").alias(number)] if number else []
+    # The next start ends a version if it is of the same key: looked for in the range, then in later ones.
+    name = F.struct(*key)
+    line = Window.partitionBy("_range").orderBy(*key, at)
+    starts = placed.where("_starts").withColumn("_next", F.lead(F.struct(*key, F.col(at).alias("_at"))).over(line))
+    starts = starts.withColumn("_next", F.coalesce("_next", "_next_start"))
+    same = F.struct(*[F.col(f"_next.{column}").alias(column) for column in key]) == name
+    versions = starts.select(
+        *numbered,
+        *key,
+        tracked,
+        F.col(at).alias("valid_from"),
+        F.when(F.col("_next").isNotNull() & same, F.col("_next._at")).alias("valid_to"),
+    )
+    versions = versions.withColumn("current_flag", F.col("valid_to").isNull())
+    return versions, placed.select(*numbered, *key, at, tracked, F.col("_begin").alias("valid_from"))
 
 
-def _run_starts(moments: DataFrame, key: Sequence[str], tracked: str, at: str) -> DataFrame:
-    """Key, moment and tracked value, and where the run of equal values began that the moment is in: in its range, or
-    in an earlier one that the range goes on with."""
-    group = [*key, "_range"]
-    line = Window.partitionBy(*group).orderBy(at)
-    marked = moments.withColumns({"_first": F.row_number().over(line) == 1, "_previous": F.lag(tracked).over(line)})
-    begins = ~F.col("_first") & ~F.col("_previous").eqNullSafe(F.col(tracked))
-    marked = marked.withColumn("_begin", F.when(begins, F.col(at))).drop("_previous")
-    value = F.struct(F.col(tracked).alias("value"))
-    ranges = marked.groupBy(*group).agg(
-        F.min_by(value, at).alias("_head"),
-        F.max_by(value, at).alias("_tail"),
-        F.min(at).alias("_head_at"),
-        F.max("_begin").alias("_last_begin"),
-    )
-    forwards = Window.partitionBy(*key).orderBy("_range")
-    ranges = ranges.withColumn("_goes_on", F.lag("_tail").over(forwards).eqNullSafe(F.col("_head")))
-    opened = F.when(~F.col("_goes_on"), F.col("_head_at"))
-    ranges = ranges.withColumn("_latest", F.coalesce("_last_begin", opened))
-    earlier = forwards.rowsBetween(Window.unboundedPreceding, -1)
-    heads = ranges.select(*group, F.coalesce(opened, F.last("_latest", ignorenulls=True).over(earlier)).alias("_from"))
+def _marked_starts(
+    moments: DataFrame, key: Sequence[str], tracked: str, at: str
+) -> tuple[DataFrame, DataFrame]:
+    """Every moment with the starts of versions in its range up to it, the range's first row left out, and one row per
+    range that tells what crosses its borders.
+
+    Ranges follow key and moment, so only the first row of a range depends on what the range before ended with.
+    """
+    line = Window.partitionBy("_range").orderBy(*key, at)
+    value = F.struct(*key, F.col(tracked).alias("_value"))
+    marked = moments.withColumns({"_place": F.row_number().over(line), "_before": F.lag(value).over(line)})
+    start = (F.col("_place") > 1) & ~F.col("_before").eqNullSafe(value)
+    marked = marked.withColumn("_start", start).drop("_before")
     so_far = line.rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    inside = marked.withColumn("_begin", F.last("_begin", ignorenulls=True).over(so_far))
-    return inside.join(heads, group).select(*key, at, tracked, F.coalesce("_begin", "_from").alias("valid_from"))
+    marked = marked.withColumns(
+        {
+            "_begun": F.count(F.when(F.col("_start"), 1)).over(so_far),
+            "_begin": F.last(F.when(F.col("_start"), F.col(at)), ignorenulls=True).over(so_far),
+        }
+    )
+    marked = materialize(marked, "marked_moments")
+    first = F.col("_place") == 1
+    opening = F.struct(*key, F.col(at).alias("_at"))
+    ranges = marked.groupBy(F.col("_range").alias("_partition")).agg(
+        F.max(F.when(first, value)).alias("_head"),
+        F.max(F.when(first, F.col(at))).alias("_head_at"),
+        F.max(F.when(first, opening)).alias("_opening"),
+        F.max_by(value, "_place").alias("_tail"),
+        F.max_by("_begin", "_place").alias("_last_begin"),
+        F.min(F.when(F.col("_start"), opening)).alias("_first_start"),
+        F.max("_begun").alias("_inside"),
+    )
+    order = Window.orderBy("_partition")
+    goes_on = F.coalesce(F.lag("_tail").over(order).eqNullSafe(F.col("_head")), F.lit(False))
+    ranges = ranges.withColumn("_goes_on", goes_on)
+    opened = F.when(~F.col("_goes_on"), F.col("_opening"))
+    latest = F.coalesce("_last_begin", F.when(~F.col("_goes_on"), F.col("_head_at")))
+    ranges = ranges.withColumns(
+        {
+            "_latest": latest,
+            "_earliest": F.coalesce(opened, "_first_start"),
+            "_all": F.col("_inside") + F.when(F.col("_goes_on"), 0).otherwise(1),
+        }
+    )
+    earlier = order.rowsBetween(Window.unboundedPreceding, -1)
+    later = order.rowsBetween(1, Window.unboundedFollowing)
+    return marked, ranges.select(
+        "_partition",
+        "_goes_on",
+        "_head_at",
+        F.coalesce(F.sum("_all").over(earlier), F.lit(0)).alias("_offset"),
+        F.last("_latest", ignorenulls=True).over(earlier).alias("_carried"),
+        F.first("_earliest", ignorenulls=True).over(later).alias("_next_start"),
+    )
 
 
 def attach_version_by_moment(
@@ -134,12 +191,17 @@ def attach_version_by_moment(
     built from (``moments``, as :func:`version_history_with_moments` gives them).
 
     Only facts that also agree with the moment in the columns ``same`` (such as the tracked value) find a version.
+    Columns that the moments have themselves (such as the number of their version) are taken from there.
     """
     clash = set(columns) & set(facts.columns)
     if clash:
         raise ValueError(f"the facts already have columns {sorted(clash)}")
-    wanted = versions.select(*key, "valid_from", *[F.col(name).alias(f"_found_{name}") for name in columns])
-    found = moments.join(wanted, [*key, "valid_from"])
+    own = [name for name in columns if name in moments.columns]
+    others = [name for name in columns if name not in own]
+    found = moments.withColumns({f"_found_{name}": F.col(name) for name in own})
+    if others:
+        wanted = versions.select(*key, "valid_from", *[F.col(name).alias(f"_found_{name}") for name in others])
+        found = found.join(wanted, [*key, "valid_from"])
     names = [*key, at, *same]
     found = found.select(*[F.col(name).alias(f"_{name}") for name in names], *[f"_found_{name}" for name in columns])
     joined = facts.join(found, [F.col(name) == F.col(f"_{name}") for name in names], "left")

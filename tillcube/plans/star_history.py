@@ -9,7 +9,7 @@ from tillcube.functions.measures import line_value
 from tillcube.functions.money import exact_sum, with_lanes
 from tillcube.operators.cleaning import RULES, clean
 from tillcube.operators.history import attach_version_by_moment, version_history, version_history_with_moments
-from tillcube.operators.numbering import number_rows
+from tillcube.operators.numbering import number_rows, with_tie
 from tillcube.operators.reports import ranked
 from tillcube.plans.dimensions import (
     country_dimension,
@@ -46,15 +46,16 @@ def build_star_history(lines: DataFrame, tracked: str = "country") -> dict[str,
     product = product_dimension(lines)
     date = date_dimension(lines, "year", "quarter", "month", "day", "weekday")
     invoice = invoice_dimension(lines)
-    versions, moments = version_history_with_moments(lines, ["customer_id"], tracked, "invoice_date")
-    customer = number_rows(versions, "customer_key", ["customer_id", "valid_from"])
+    versions, moments = version_history_with_moments(lines, ["customer_id"], tracked, "invoice_date", "customer_key")
+    customer = materialize(versions, "customer_key")
 
-    facts = attach_version_by_moment(lines, moments, customer, ["customer_id"], "invoice_date", ["customer_key"])
-    facts = look_up(facts, product, {"stock_code": "stock_code"}, "product_key")
-    facts = look_up(facts, country, {"country": "country_name"}, "country_key")
+    # Small dimensions come first: their keys are shorter than what they stand for, and lines move three times after them.
+    facts = look_up(with_tie(lines, "_tie"), country, {"country": "country_name"}, "country_key")
     facts = facts.withColumn("sold_on", F.to_date("invoice_date"))
     facts = look_up(facts, date, {"sold_on": "date"}, "date_key")
+    facts = attach_version_by_moment(facts, moments, customer, ["customer_id"], "invoice_date", ["customer_key"])
     facts = look_up(facts, invoice, {"invoice_no": "invoice_no"}, "invoice_key")
+    facts = look_up(facts, product, {"stock_code": "stock_code"}, "product_key")
     facts = facts.select(
         "invoice_key",
         "customer_key",
@@ -63,8 +64,9 @@ def build_star_history(lines: DataFrame, tracked: str = "country") -> dict[str,
         "country_key",
         "quantity",
         "unit_price",
+        "_tie",
     )
-    numbered = number_rows(facts, "sales_key", facts.columns, repeated=True)
+    numbered = number_rows(facts, "sales_key", facts.columns, tie="_tie")
     revenue = line_value(F.col("quantity"), F.col("unit_price"))
     return {
         "dim_country": country,
